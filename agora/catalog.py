@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 QA = "qa"
 FORUM = "forum"
 SELF_LOOP = "self_loop"
@@ -45,6 +48,31 @@ def edge_types(profile: str) -> list[tuple[str, str, str]]:
     return [*BASE_EDGES[profile], *reversed_edges, (target, SELF_LOOP, target)]
 
 
+ALL_TYPES = [t for types in NODE_TYPES.values() for t in types]
+_INDEX_BITS = 56
+
+
+def typed_id(node_type: str, idx: str) -> Column:
+    """Type and index of a node in one number, which joins and sorts faster than the pair."""
+    return F.lit(ALL_TYPES.index(node_type) << _INDEX_BITS).bitwiseOR(F.col(idx))
+
+
+def node_id(node_type: str, idx: str) -> Column:
+    """``typed_id`` where the type is a column."""
+    chain = F.when(F.lit(False), F.lit(0).cast("bigint"))
+    for name in ALL_TYPES:
+        chain = chain.when(F.col(node_type) == name, typed_id(name, idx))
+    return chain.otherwise(F.raise_error(F.concat(F.lit("unknown node type: "), F.col(node_type))).cast("bigint"))
+
+
+def type_of(node: str) -> Column:
+    return F.get(F.array(*[F.lit(t) for t in ALL_TYPES]), F.shiftright(node, _INDEX_BITS).cast("int"))
+
+
+def index_of(node: str) -> Column:
+    return F.col(node).bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
+
+
 @dataclass(frozen=True)
 class Profile:
     """What a model needs to know about a dataset."""

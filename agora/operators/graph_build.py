@@ -12,6 +12,7 @@ from agora.catalog import FORUM, QA, Profile
 from agora.functions.cleaning import strip_post_prefix, to_id, to_number
 from agora.operators.ordering import dense_index
 from agora.operators.skew import heavy_keys, salted_join
+from agora.session import materialize
 
 NODE_SCHEMA = "node_type string, key string, idx bigint, x array<double>, y int, split string"
 EDGE_SCHEMA = "src_type string, relation string, dst_type string, src bigint, dst bigint"
@@ -38,22 +39,22 @@ def _typed(
     ``place`` is where the key first appears, or a numeric key itself; it
     decides the index. Without ``row_order`` repeats are settled by the values.
     """
-    order = F.col(row_order).cast("bigint") if row_order else F.lit(None).cast("bigint")
     label = F.lit(None).cast("int") if y is None else y.cast("int")
+    place = F.col(row_order).cast("bigint") if row_order else F.lit(None).cast("bigint")
     rows = df.where(F.col(key).isNotNull()).select(
         F.lit(node_type).alias("node_type"),
         F.col(key).cast("string").alias("key"),
-        F.struct(order.alias("o"), F.coalesce(x.cast("double"), F.lit(0.0)).alias("x"), label.alias("y")).alias("last"),
-        order.alias("first"),
-    )
-    merged = rows.groupBy("node_type", "key").agg(F.max("last").alias("last"), F.min("first").alias("first"))
-    return merged.select(
-        "node_type",
-        "key",
-        F.coalesce("first", F.col("key").try_cast("bigint")).alias("place"),
-        F.col("last.x").alias("x"),
-        F.col("last.y").alias("y"),
+        F.coalesce(x.cast("double"), F.lit(0.0)).alias("x"),
+        label.alias("y"),
+        place.alias("place"),
     )
+    # Plain numbers in the buffers keep this a hash aggregation.
+    if row_order:
+        values = [F.max_by("x", "place").alias("x"), F.max_by("y", "place").alias("y"), F.min("place").alias("place")]
+    else:
+        values = [F.max("x").alias("x"), F.max("y").alias("y"), F.max("place").alias("place")]
+    merged = rows.groupBy("node_type", "key").agg(*values)
+    return merged.withColumn("place", F.coalesce("place", F.col("key").try_cast("bigint")))
 
 
 def _indexed(typed: Sequence[DataFrame], partitions: int | None) -> DataFrame:
@@ -153,7 +154,8 @@ def qa_edges(nodes: DataFrame, questions: DataFrame, answers: DataFrame) -> Data
 
 def qa_graph(users: DataFrame, questions: DataFrame, answers: DataFrame, row_order: str | None = None) -> Graph:
     nodes = qa_nodes(users, questions, answers, row_order)
-    return Graph(Profile(QA), nodes, qa_edges(nodes, questions, answers))
+    edges = materialize(qa_edges(nodes, questions, answers), "edges", ["relation"])
+    return Graph(Profile(QA), nodes, edges)
 
 
 def all_authors(posts: DataFrame, comments: DataFrame) -> DataFrame:
@@ -257,4 +259,5 @@ def forum_graph(
     posts: DataFrame, comments: DataFrame, label_scope: str = "posts", row_order: str | None = None
 ) -> Graph:
     nodes = forum_nodes(posts, comments, label_scope, row_order)
-    return Graph(Profile(FORUM), nodes, forum_edges(nodes, posts, comments))
+    edges = materialize(forum_edges(nodes, posts, comments), "edges", ["relation"])
+    return Graph(Profile(FORUM), nodes, edges)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.catalog import SELF_LOOP, Profile, reverse_name
+from agora.catalog import SELF_LOOP, Profile, index_of, node_id, reverse_name, type_of
 from agora.operators.graph_build import Graph
 from agora.operators.sampling import node_split
 from agora.session import materialize
@@ -23,29 +23,22 @@ def relations_of(edges: DataFrame) -> list[tuple[str, str, str]]:
 def reverse_edges(edges: DataFrame, profile: Profile) -> DataFrame:
     """Add every relation's reverse unless an edge type of that name exists already."""
     present = relations_of(edges)
-    wanted = [(s, r, d) for s, r, d in present if (d, reverse_name(profile.name, r), s) not in present]
-    if not wanted:
-        return edges
-    name = F.col("relation")
-    reversed_name = reduce(
-        lambda otherwise, r: F.when(name == r, reverse_name(profile.name, r)).otherwise(otherwise),
-        sorted({r for _, r, _ in wanted}),
-        F.lit(None).cast("string"),
-    )
-    chosen = reduce(
-        lambda a, b: a | b,
-        [(F.col("src_type") == s) & (name == r) & (F.col("dst_type") == d) for s, r, d in wanted],
-    )
-    # One pass over the edges: each row gives itself and, if wanted, its reverse.
-    itself = F.struct(*EDGE_KEYS, "src", "dst")
-    flipped = F.struct(
-        F.col("dst_type").alias("src_type"),
-        reversed_name.alias("relation"),
-        F.col("src_type").alias("dst_type"),
-        F.col("dst").alias("src"),
-        F.col("src").alias("dst"),
-    )
-    return edges.select(F.inline(F.when(chosen, F.array(itself, flipped)).otherwise(F.array(itself))))
+    result = edges
+    for src_type, relation, dst_type in present:
+        name = reverse_name(profile.name, relation)
+        if (dst_type, name, src_type) in present:
+            continue
+        # One branch per relation: readers of a single relation skip all other branches.
+        of_type = (F.col("src_type") == src_type) & (F.col("relation") == relation) & (F.col("dst_type") == dst_type)
+        flipped = edges.where(of_type).select(
+            F.lit(dst_type).alias("src_type"),
+            F.lit(name).alias("relation"),
+            F.lit(src_type).alias("dst_type"),
+            F.col("dst").alias("src"),
+            F.col("src").alias("dst"),
+        )
+        result = result.unionByName(flipped)
+    return result
 
 
 def self_loops(nodes: DataFrame, target: str) -> DataFrame:
@@ -59,11 +52,13 @@ def self_loops(nodes: DataFrame, target: str) -> DataFrame:
 
 
 def prepare(graph: Graph, val_share: float = 0.1, test_share: float = 0.1, seed: int = 42) -> Graph:
-    """Graph ready for a model: split of the labelled nodes, reverse relations, self loops."""
-    target = graph.profile.target
-    nodes = materialize(node_split(graph.nodes, target, val_share, test_share, seed), "nodes", ["node_type"])
-    edges = reverse_edges(graph.edges, graph.profile).unionByName(self_loops(nodes, target))
-    return Graph(graph.profile, nodes, materialize(edges, "edges", ["relation"]))
+    """Graph ready for a model: split of the labelled nodes, reverse relations, self loops.
+
+    All three are computed row by row from the stored graph whenever it is read.
+    """
+    nodes = node_split(graph.nodes, graph.profile.target, val_share, test_share, seed)
+    edges = reverse_edges(graph.edges, graph.profile).unionByName(self_loops(nodes, graph.profile.target))
+    return Graph(graph.profile, nodes, edges)
 
 
 def catalogue_check(edges: DataFrame, profile: Profile) -> DataFrame:
@@ -116,37 +111,52 @@ def multigraph_view(graph: Graph) -> DataFrame:
 
 def induced_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
     """Edges whose two ends are both in ``members`` (node_type, idx)."""
-    sources = members.select(F.col("node_type").alias("src_type"), F.col("idx").alias("src")).distinct()
-    targets = members.select(F.col("node_type").alias("dst_type"), F.col("idx").alias("dst")).distinct()
-    return edges.join(sources, ["src_type", "src"], "left_semi").join(targets, ["dst_type", "dst"], "left_semi")
+    inside = members.select(node_id("node_type", "idx").alias("_node"))
+    kept = _with_ends(edges)
+    for end in ("_src", "_dst"):
+        kept = kept.join(inside.withColumnRenamed("_node", end), end, "left_semi")
+    return kept.select(*EDGE_KEYS, "src", "dst")
 
 
-def ego_nodes(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> DataFrame:
-    """Nodes within ``radius`` outgoing hops of each seed, with their distance.
+def _with_ends(edges: DataFrame) -> DataFrame:
+    return edges.select("*", node_id("src_type", "src").alias("_src"), node_id("dst_type", "dst").alias("_dst"))
 
-    ``seeds`` has seed_id, node_type, idx. Every round is written to shared
-    storage, so the plan stays short, and a small frontier has a known size
-    from which Spark chooses a broadcast by itself.
-    """
-    reached = materialize(seeds.select("seed_id", "node_type", "idx", F.lit(0).alias("hops")).distinct(), "ego")
+
+def _walk(ends: DataFrame, seeds: DataFrame, radius: int) -> DataFrame:
+    reached = materialize(
+        seeds.select("seed_id", node_id("node_type", "idx").alias("_node"), F.lit(0).alias("hops")).distinct(), "ego"
+    )
     frontier = reached
     for hop in range(1, radius + 1):
-        step = frontier.select("seed_id", F.col("node_type").alias("src_type"), F.col("idx").alias("src"))
+        step = frontier.select("seed_id", F.col("_node").alias("_src"))
         found = (
-            edges.join(step, ["src_type", "src"])
-            .select("seed_id", F.col("dst_type").alias("node_type"), F.col("dst").alias("idx"))
+            ends.join(step, "_src")
+            .select("seed_id", F.col("_dst").alias("_node"))
             .distinct()
-            .join(reached, ["seed_id", "node_type", "idx"], "left_anti")
+            .join(reached, ["seed_id", "_node"], "left_anti")
         )
         frontier = materialize(found.withColumn("hops", F.lit(hop)), "ego")
         reached = reached.unionByName(frontier)
     return reached
 
 
+def ego_nodes(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> DataFrame:
+    """Nodes within ``radius`` outgoing hops of each seed, with their distance.
+
+    ``seeds`` has seed_id, node_type, idx. Every round is written to shared
+    storage, so the plan stays short, and a small frontier has a known size
+    from which Spark chooses a broadcast by itself.
+    """
+    reached = _walk(_with_ends(edges), seeds, radius)
+    return reached.select("seed_id", type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
+
+
 def ego_graph(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> tuple[DataFrame, DataFrame]:
     """Ego nodes and, for each seed, the edges among them including parallel ones."""
-    nodes = ego_nodes(edges, seeds, radius)
-    sources = nodes.select("seed_id", F.col("node_type").alias("src_type"), F.col("idx").alias("src"))
-    targets = nodes.select("seed_id", F.col("node_type").alias("dst_type"), F.col("idx").alias("dst"))
-    inside = edges.join(sources, ["src_type", "src"]).join(targets, ["seed_id", "dst_type", "dst"], "left_semi")
+    ends = _with_ends(edges)
+    reached = _walk(ends, seeds, radius)
+    sources = reached.select("seed_id", F.col("_node").alias("_src"))
+    targets = reached.select("seed_id", F.col("_node").alias("_dst"))
+    inside = ends.join(sources, "_src").join(targets, ["seed_id", "_dst"], "left_semi")
+    nodes = reached.select("seed_id", type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
     return nodes, inside.select("seed_id", *EDGE_KEYS, "src", "dst")

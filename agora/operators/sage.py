@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.catalog import Profile
+from agora.catalog import Profile, index_of, node_id, type_of, typed_id
 from agora.functions.scoring import cross_entropy, graph_class, positive_probability
 from agora.operators.graph_build import Graph
 from agora.operators.skew import heavy_keys, salted_join
@@ -69,6 +69,7 @@ def gather_means(
     features: DataFrame,
     nodes: DataFrame,
     edges: DataFrame,
+    profile: Profile,
     incoming: dict[str, list[str]],
     width: int,
     hot: list,
@@ -79,33 +80,36 @@ def gather_means(
     ``nodes`` the destinations. Means of absent neighbours are 0.
     """
     slots = max(len(r) for r in incoming.values())
-    place = {r: i for relations in incoming.values() for i, r in enumerate(relations)}
-    slot = reduce(lambda c, r: c.when(F.col("relation") == r, place[r]), place, F.when(F.lit(False), 0))
-    wanted = edges.where(F.col("relation").isin(list(place))).select(
-        "dst_type", "dst", slot.alias("slot"), "src_type", "src"
-    )
-    # A node's own values travel as one more edge, so that features are computed once.
-    own = nodes.where(F.col("node_type").isin(list(incoming))).select(
-        F.col("node_type").alias("dst_type"),
-        F.col("idx").alias("dst"),
-        F.lit(slots).alias("slot"),
-        F.col("node_type").alias("src_type"),
-        F.col("idx").alias("src"),
-    )
-    sources = features.select(F.col("node_type").alias("src_type"), F.col("idx").alias("src"), "x")
-    messages = salted_join(wanted.unionByName(own), sources, ["src_type", "src"], "inner", hot, "src")
+    # One branch per relation, with constant types. A node's own values travel as one
+    # more edge, so that features are computed once.
+    branches = []
+    for src_type, relation, dst_type in profile.edge_types:
+        if relation in incoming.get(dst_type, []):
+            branches.append(
+                edges.where(F.col("relation") == relation).select(
+                    typed_id(dst_type, "dst").alias("_dst"),
+                    F.lit(incoming[dst_type].index(relation)).alias("slot"),
+                    typed_id(src_type, "src").alias("_src"),
+                )
+            )
+    node = node_id("node_type", "idx")
+    own = nodes.where(F.col("node_type").isin(list(incoming)))
+    branches.append(own.select(node.alias("_dst"), F.lit(slots).alias("slot"), node.alias("_src")))
+    pairs = reduce(DataFrame.unionAll, branches)
+    sources = features.select(node.alias("_src"), *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)])
+    messages = salted_join(pairs, sources, "_src", "inner", hot)
     sums = []
     for s in range(slots + 1):
         here = F.col("slot") == s
         sums.append(F.count_if(here).alias(f"n{s}"))
-        sums += [F.sum(F.when(here, F.get("x", F.lit(i)))).alias(f"s{s}_{i}") for i in range(width)]
-    gathered = messages.groupBy("dst_type", "dst").agg(*sums)
+        sums += [F.sum(F.when(here, F.col(f"x{i}"))).alias(f"s{s}_{i}") for i in range(width)]
+    gathered = messages.groupBy("_dst").agg(*sums)
     means = [
         F.when(F.col(f"n{s}") > 0, F.col(f"s{s}_{i}") / F.col(f"n{s}")).otherwise(0.0)
         for s in range(slots + 1)
         for i in range(width)
     ]
-    return gathered.select(F.col("dst_type").alias("node_type"), F.col("dst").alias("idx"), F.array(*means).alias("m"))
+    return gathered.select(type_of("_dst").alias("node_type"), index_of("_dst").alias("idx"), F.array(*means).alias("m"))
 
 
 def _apply(means: DataFrame, maps: dict[str, tuple[np.ndarray, np.ndarray]], head=None) -> DataFrame:
@@ -136,6 +140,7 @@ def sage_layer(
     features: DataFrame,
     nodes: DataFrame,
     edges: DataFrame,
+    profile: Profile,
     params: Parameters,
     layer: str,
     incoming: dict[str, list[str]],
@@ -146,7 +151,7 @@ def sage_layer(
     slots = max(len(r) for r in incoming.values())
     width = params[f"{layer}/{next(iter(incoming.values()))[0]}/neighbor"].shape[1]
     maps = {t: _stacked(params, layer, relations, slots) for t, relations in incoming.items()}
-    return _apply(gather_means(features, nodes, edges, incoming, width, hot), maps, head)
+    return _apply(gather_means(features, nodes, edges, profile, incoming, width, hot), maps, head)
 
 
 def forward(graph: Graph, params: Parameters, split: str | None = None) -> DataFrame:
@@ -157,15 +162,18 @@ def forward(graph: Graph, params: Parameters, split: str | None = None) -> DataF
     profile = graph.profile
     incoming = {t: profile.incoming(t) for t in profile.node_types}
     target = profile.target
-    hot = heavy_keys(graph.edges, ["src", "dst"])
-    first = sage_layer(graph.nodes, graph.nodes, graph.edges, params, "conv1", incoming, hot["src"])
+    ends = graph.edges.select(node_id("src_type", "src").alias("src"), node_id("dst_type", "dst").alias("dst"))
+    hot = heavy_keys(ends, ["src", "dst"])
+    first = sage_layer(graph.nodes, graph.nodes, graph.edges, profile, params, "conv1", incoming, hot["src"])
     wanted = graph.nodes.where(F.col("node_type") == target)
     edges = graph.edges.where(F.col("dst_type") == target)
     if split is not None:
         wanted = wanted.where(F.col("split") == split)
-        edges = salted_join(edges, wanted.select(F.col("idx").alias("dst")), "dst", "left_semi", hot["dst"])
+        chosen = wanted.select(node_id("node_type", "idx").alias("_dst"))
+        edges = edges.withColumn("_dst", node_id("dst_type", "dst"))
+        edges = salted_join(edges, chosen, "_dst", "left_semi", hot["dst"])
     last = sage_layer(
-        first, wanted, edges, params, "conv2", {target: incoming[target]}, hot["src"],
+        first, wanted, edges, profile, params, "conv2", {target: incoming[target]}, hot["src"],
         head=(params["head/weight"], params["head/bias"]),
     )
     return last.select("idx", F.get("x", F.lit(0)).alias("z0"), F.get("x", F.lit(1)).alias("z1"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from functools import reduce
 
@@ -9,19 +10,29 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HEAVY_SHARE = 0.002
+SAMPLE_SHARE = 0.01
+MIN_SAMPLED = 30
 SALTS = 64
 _SALT = "_salt"
 
 
 def heavy_keys(df: DataFrame, columns: Sequence[str], share: float = HEAVY_SHARE) -> dict[str, list]:
-    """For every column, a superset of the values that hold more than ``share`` of its rows.
+    """For every column, the values that hold more than ``share`` of a sample of the rows.
 
-    One pass with bounded counters; at most ``1 / share`` values come back for
-    a column. Values that are not heavy after all only cost a few extra rows.
+    Only the choice of values to spread depends on the sample, never a result.
+    At most ``1 / share`` values of a column can pass, and small tables, which
+    need no spreading, have none.
     """
-    present = df.select(*columns)
-    found = present.freqItems(list(columns), share).first()
-    return {c: [v for v in (found[f"{c}_freqItems"] or []) if v is not None] for c in columns}
+    sample = df.select(*columns).sample(SAMPLE_SHARE, seed=1)
+    return {c: _heavy_values(sample, c, share) for c in columns}
+
+
+def _heavy_values(sample: DataFrame, column: str, share: float) -> list:
+    counts = sample.rollup(column).agg(F.count(F.lit(1)).alias("n"), F.grouping(column).alias("all"))
+    most = math.ceil(1 / share) + 2  # the total, the NULL group and every value above the share
+    rows = counts.where(F.col("n") >= MIN_SAMPLED).orderBy(F.desc("n"), F.desc("all")).limit(most).collect()
+    total = max((r["n"] for r in rows if r["all"] == 1), default=0)
+    return [r[column] for r in rows if r["all"] == 0 and r[column] is not None and r["n"] > share * total]
 
 
 def salted_join(
@@ -49,6 +60,8 @@ def salted_join(
         hot = heavy_keys(facts, [hot_column])[hot_column]
     heavy: Column = F.col(hot_column).isin(hot) if hot else F.lit(False)
     spread = F.when(heavy | missing, F.pmod(F.monotonically_increasing_id(), F.lit(salts)).cast("int"))
+    if not hot and how != "left":
+        return facts.join(dim, keys, how)
     left = facts.withColumn(_SALT, F.coalesce(spread, F.lit(0)))
     copies = F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = dim.where(~missing).withColumn(_SALT, F.explode(copies))

@@ -5,7 +5,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -32,12 +32,23 @@ def qa_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return people.join(badges, "user_id", "left").fillna(0, ["gold_badges", "silver_badges", "bronze_badges"])
 
 
+PRIME, MIXERS = 2147483647, (48271, 69621)
+
+
+def _line_hash(mixer: int) -> Column:
+    """Polynomial of the columns that identify a line, modulo a 31-bit prime."""
+    cents = F.floor(F.col("l_extendedprice") * 100 + 0.5).cast("bigint")
+    value = F.col("l_orderkey") % PRIME
+    for part in (F.col("l_linenumber"), F.col("l_partkey"), F.col("l_suppkey"), cents):
+        value = (value * F.lit(mixer).cast("bigint") + part) % PRIME
+    return value
+
+
 def qa_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An answer for every line; its id is taken from a hash of the columns that identify the line."""
-    cents = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    digest = F.md5(F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", cents))
+    """An answer for every line; its id joins two hashes of the line."""
+    first, second = (_line_hash(m) for m in MIXERS)
     return table(spark, sf_dir, "lineitem").select(
-        F.conv(F.substring(digest, 1, 15), 16, 10).cast("bigint").alias("answer_id"),
+        (F.shiftleft(first, 31) + second).alias("answer_id"),
         F.col("l_orderkey").alias("question_id"),
         F.col("l_partkey").alias("user_id"),
         (F.col("l_quantity") - 25).alias("score"),
@@ -100,6 +111,13 @@ def predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _line_hash_sql(mixer: int) -> str:
+    value = "l_orderkey % 2147483647"
+    for part in ("l_linenumber", "l_partkey", "l_suppkey", "cast(floor(l_extendedprice * 100 + 0.5) as bigint)"):
+        value = f"(({value}) * {mixer} + {part}) % 2147483647"
+    return f"({value})"
+
+
 SQL = {
     "qa_users": """
         select c_custkey user_id, c_name display_name,
@@ -112,10 +130,9 @@ SQL = {
                    count(*) filter (where o_orderpriority like '3%') b
             from orders group by o_custkey) o on o_custkey = c_custkey""",
     "qa_answers": """
-        select cast('0x' || substr(md5(concat_ws('|', l_orderkey, l_linenumber, l_partkey, l_suppkey,
-                    cast(round(l_extendedprice * 100) as bigint))), 1, 15) as bigint) answer_id,
+        select {hash_1} * 2147483648 + {hash_2} answer_id,
                l_orderkey question_id, l_partkey user_id, l_quantity - 25 score, l_returnflag = 'A' is_accepted
-        from lineitem""",
+        from lineitem""".format(hash_1=_line_hash_sql(48271), hash_2=_line_hash_sql(69621)),
     "qa_questions": """
         select o_orderkey question_id, o_custkey user_id, o_totalprice score, accepted_answer_id
         from orders left join (

@@ -62,10 +62,6 @@ def forum_graph_of(spark: SparkSession, d: str) -> Graph:
     return graph_build.forum_graph(labelled.posts, labelled.comments)
 
 
-def stored(graph: Graph) -> Graph:
-    return Graph(graph.profile, materialize(graph.nodes, "nodes", ["node_type"]), materialize(graph.edges, "edges"))
-
-
 def flat_nodes(nodes: DataFrame) -> DataFrame:
     return nodes.select("node_type", "key", "idx", F.get("x", F.lit(0)).alias("x"), "y")
 
@@ -341,7 +337,7 @@ def lookup_answer_edges(spark, d):
 
 @query
 def induced_subgraph(spark, d):
-    graph = stored(qa_graph_of(spark, d))
+    graph = qa_graph_of(spark, d)
     return graph_ops.induced_edges(graph.edges, graph.nodes.where(F.col("idx") % 3 != 0))
 
 
@@ -499,12 +495,12 @@ def forum_graph_edges(spark, d):
 
 @query
 def qa_reverse_edges(spark, d):
-    return graph_ops.reverse_edges(stored(qa_graph_of(spark, d)).edges, Profile(QA))
+    return graph_ops.reverse_edges(qa_graph_of(spark, d).edges, Profile(QA))
 
 
 @query
 def forum_reverse_edges(spark, d):
-    return graph_ops.reverse_edges(stored(forum_graph_of(spark, d)).edges, Profile(FORUM))
+    return graph_ops.reverse_edges(forum_graph_of(spark, d).edges, Profile(FORUM))
 
 
 @query
@@ -520,7 +516,7 @@ def node_split(spark, d):
 
 @query
 def relation_degrees(spark, d):
-    return graph_ops.degree_summary(stored(qa_graph_of(spark, d)).edges)
+    return graph_ops.degree_summary(qa_graph_of(spark, d).edges)
 
 
 @query
@@ -534,7 +530,7 @@ def relation_catalogue(spark, d):
 
 
 def _egos(spark, d):
-    graph = stored(qa_graph_of(spark, d))
+    graph = qa_graph_of(spark, d)
     every = graph.nodes.where((F.col("node_type") == "user") & (F.col("idx") % 10 == 7))
     return graph_ops.ego_graph(graph.edges, every.select(F.col("idx").alias("seed_id"), "node_type", "idx"), 3)
 
