@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from agora.catalog import SELF_LOOP, Profile, index_of, node_id, reverse_name, type_of
 from agora.operators.graph_build import Graph
 from agora.operators.sampling import node_split
+from agora.operators.skew import heavy_keys, salted_join
 from agora.session import materialize
 
 EDGE_KEYS = ["src_type", "relation", "dst_type"]
@@ -112,9 +113,11 @@ def multigraph_view(graph: Graph) -> DataFrame:
 def induced_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
     """Edges whose two ends are both in ``members`` (node_type, idx)."""
     inside = members.select(node_id("node_type", "idx").alias("_node"))
-    kept = _with_ends(edges)
+    ends = _with_ends(edges)
+    hot = heavy_keys(ends, ["_src", "_dst"])
+    kept = ends
     for end in ("_src", "_dst"):
-        kept = kept.join(inside.withColumnRenamed("_node", end), end, "left_semi")
+        kept = salted_join(kept, inside.withColumnRenamed("_node", end), end, "left_semi", hot[end])
     return kept.select(*EDGE_KEYS, "src", "dst")
 
 
@@ -122,7 +125,7 @@ def _with_ends(edges: DataFrame) -> DataFrame:
     return edges.select("*", node_id("src_type", "src").alias("_src"), node_id("dst_type", "dst").alias("_dst"))
 
 
-def _walk(ends: DataFrame, seeds: DataFrame, radius: int) -> DataFrame:
+def _walk(ends: DataFrame, seeds: DataFrame, radius: int, hot: list) -> DataFrame:
     reached = materialize(
         seeds.select("seed_id", node_id("node_type", "idx").alias("_node"), F.lit(0).alias("hops")).distinct(), "ego"
     )
@@ -130,7 +133,7 @@ def _walk(ends: DataFrame, seeds: DataFrame, radius: int) -> DataFrame:
     for hop in range(1, radius + 1):
         step = frontier.select("seed_id", F.col("_node").alias("_src"))
         found = (
-            ends.join(step, "_src")
+            salted_join(ends, step, "_src", "inner", hot)
             .select("seed_id", F.col("_dst").alias("_node"))
             .distinct()
             .join(reached, ["seed_id", "_node"], "left_anti")
@@ -147,16 +150,19 @@ def ego_nodes(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> DataFrame:
     storage, so the plan stays short, and a small frontier has a known size
     from which Spark chooses a broadcast by itself.
     """
-    reached = _walk(_with_ends(edges), seeds, radius)
+    ends = _with_ends(edges)
+    reached = _walk(ends, seeds, radius, heavy_keys(ends, ["_src"])["_src"])
     return reached.select("seed_id", type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
 
 
 def ego_graph(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> tuple[DataFrame, DataFrame]:
     """Ego nodes and, for each seed, the edges among them including parallel ones."""
     ends = _with_ends(edges)
-    reached = _walk(ends, seeds, radius)
+    hot = heavy_keys(ends, ["_src", "_dst"])
+    reached = _walk(ends, seeds, radius, hot["_src"])
     sources = reached.select("seed_id", F.col("_node").alias("_src"))
     targets = reached.select("seed_id", F.col("_node").alias("_dst"))
-    inside = ends.join(sources, "_src").join(targets, ["seed_id", "_dst"], "left_semi")
+    inside = salted_join(ends, sources, "_src", "inner", hot["_src"])
+    inside = salted_join(inside, targets, ["seed_id", "_dst"], "left_semi", hot["_dst"], "_dst")
     nodes = reached.select("seed_id", type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
     return nodes, inside.select("seed_id", *EDGE_KEYS, "src", "dst")

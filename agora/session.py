@@ -16,6 +16,8 @@ def build_session(app: str = "agora", cpus: int | None = None, **conf: str) -> S
     settings = {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # Skip the sort of a join whose measured build partitions are all small.
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
         "spark.sql.session.timeZone": "UTC",
         "spark.ui.enabled": "false",
         "spark.ui.showConsoleProgress": "false",
