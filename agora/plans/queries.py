@@ -51,10 +51,8 @@ def labelled_forum(spark: SparkSession, d: str) -> runs.ForumTables:
 
 
 def qa_graph_of(spark: SparkSession, d: str) -> Graph:
-    users = materialize(labelled_users(spark, d), "users")
     questions = materialize(fixtures.qa_questions(spark, d), "questions")
-    answers = materialize(fixtures.qa_answers(spark, d), "answers")
-    return graph_build.qa_graph(users, questions, answers)
+    return graph_build.qa_graph(labelled_users(spark, d), questions, fixtures.qa_answers(spark, d))
 
 
 def forum_graph_of(spark: SparkSession, d: str) -> Graph:
