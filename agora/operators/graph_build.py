@@ -128,18 +128,18 @@ def qa_edges(nodes: DataFrame, questions: DataFrame, answers: DataFrame) -> Data
         F.col("user_id").cast("string").alias("user"),
         to_id(F.col("accepted_answer_id")).cast("string").alias("accepted"),
     )
-    hot = heavy_keys(asked, ["user"])
-    asked = asked.join(_ends(nodes, "question", "question", "q"), "question")
+    hot = heavy_keys(asked, ["question", "user", "accepted"])
+    asked = salted_join(asked, _ends(nodes, "question", "question", "q"), "question", "inner", hot["question"])
     asked = salted_join(asked, _ends(nodes, "user", "user", "u"), "user", "left", hot["user"])
-    asked = salted_join(asked, _ends(nodes, "answer", "accepted", "a"), "accepted", "left", [])
+    asked = salted_join(asked, _ends(nodes, "answer", "accepted", "a"), "accepted", "left", hot["accepted"])
 
     given = answers.where(F.col("answer_id").isNotNull()).select(
         F.col("answer_id").cast("string").alias("answer"),
         F.col("question_id").cast("string").alias("question"),
         F.col("user_id").cast("string").alias("user"),
     )
-    hot = heavy_keys(given, ["question", "user"])
-    given = given.join(_ends(nodes, "answer", "answer", "a"), "answer")
+    hot = heavy_keys(given, ["answer", "question", "user"])
+    given = salted_join(given, _ends(nodes, "answer", "answer", "a"), "answer", "inner", hot["answer"])
     given = salted_join(given, _ends(nodes, "question", "question", "q"), "question", "left", hot["question"])
     given = salted_join(given, _ends(nodes, "user", "user", "u"), "user", "left", hot["user"])
 
@@ -243,8 +243,8 @@ def forum_edges(nodes: DataFrame, posts: DataFrame, comments: DataFrame) -> Data
         strip_post_prefix(F.col("post_id")).alias("post"),
         "author",
     )
-    hot = heavy_keys(said, ["post", "author"])
-    said = said.join(_ends(nodes, "comment", "comment", "c"), "comment")
+    hot = heavy_keys(said, ["comment", "post", "author"])
+    said = salted_join(said, _ends(nodes, "comment", "comment", "c"), "comment", "inner", hot["comment"])
     said = salted_join(said, _ends(nodes, "post", "post", "p"), "post", "left", hot["post"])
     said = salted_join(said, _ends(nodes, "author", "author", "u"), "author", "left", hot["author"])
 

@@ -25,18 +25,19 @@ def seeded_hash(seed: int | str, *keys: str) -> Column:
 
 def hash_cuts(
     df: DataFrame, keys: Sequence[str], seed: int | str, ranks: Callable[[int], Sequence[int]]
-) -> tuple[int, list[str | None]]:
-    """Row count and, for each rank r, the hash h such that exactly r rows have a smaller one.
+) -> tuple[int, list[tuple[str | None, int]]]:
+    """Row count and, for each rank r, the hash h of the row at that rank.
 
-    A rank at or beyond the row count yields None: every row lies below it.
-    Needs unique keys; a repeated key at a cut is an error.
+    The second number is how many rows with just that hash belong below the
+    rank: 0 unless rows share a key. At a rank at or beyond the row count the
+    hash is None: every row lies below it.
     """
     hashed = df.select(seeded_hash(seed, *keys).alias("h"))
     prefix = F.substring("h", 1, _DIGITS)
     histogram = {r["p"]: r["count"] for r in hashed.groupBy(prefix.alias("p")).count().collect()}
     total = sum(histogram.values())
     wanted = list(ranks(total))
-    cuts: list[str | None] = [None] * len(wanted)
+    cuts: list[tuple[str | None, int]] = [(None, 0)] * len(wanted)
     pending = {}
     for place, rank in enumerate(wanted):
         if rank < total:
@@ -58,12 +59,10 @@ def hash_cuts(
             own = sorted((r["h"], r["count"]) for r in rows if r["h"].startswith(bucket))
             seen = before
             for value, n in own:
-                if seen == wanted[place]:
-                    cuts[place] = value
+                if wanted[place] < seen + n:
+                    cuts[place] = (value, wanted[place] - seen)
                     break
                 seen += n
-            if cuts[place] is None:
-                raise ValueError(f"keys {list(keys)} repeat, so rank {wanted[place]} is not defined")
         pending = {}
     return total, cuts
 
@@ -81,21 +80,37 @@ def _below(hashed: Column, cut: str | None) -> Column:
     return F.lit(True) if cut is None else hashed < cut
 
 
+def _unique_cuts(df: DataFrame, keys: Sequence[str], seed: int | str, ranks) -> list[str | None]:
+    """Cuts of a split, which must not divide the rows of one key."""
+    _, cuts = hash_cuts(df, keys, seed, ranks)
+    if any(inside for _, inside in cuts):
+        raise ValueError(f"keys {list(keys)} repeat at a cut")
+    return [cut for cut, _ in cuts]
+
+
 def sample_exact(df: DataFrame, n: int, key: str | Sequence[str], seed: int = 42) -> DataFrame:
-    """Uniform sample of exactly ``n`` rows without replacement; fewer rows are an error."""
+    """Uniform sample of exactly ``n`` rows without replacement; fewer rows are an error.
+
+    If the last place falls among rows that share a key, the first of them by
+    all their columns are taken.
+    """
     keys = [key] if isinstance(key, str) else list(key)
-    total, (cut,) = hash_cuts(df, keys, seed, lambda _: [n])
+    total, [(cut, inside)] = hash_cuts(df, keys, seed, lambda _: [n])
     if total < n:
         raise ValueError(f"cannot sample {n} rows from {total}")
-    return df.where(_below(seeded_hash(seed, *keys), cut))
+    hashed = seeded_hash(seed, *keys)
+    sample = df.where(_below(hashed, cut))
+    if inside:
+        sample = sample.unionByName(take_first(df.where(hashed == cut), inside, df.columns))
+    return sample
 
 
 def take_first(
-    df: DataFrame, n: int, order_by: Sequence[str], position: str | None = None, spread_ties: bool = False
+    df: DataFrame, n: int, order_by: Sequence[str], position: str | None = None
 ) -> DataFrame:
-    """The first ``n`` rows by an explicit order; fewer rows are an error."""
+    """The first ``n`` rows by an explicit order; fewer rows are an error. Equal rows may be many."""
     name = position or "_position"
-    indexed = index_rows(df, order_by, name=name, spread_ties=spread_ties)
+    indexed = index_rows(df, order_by, name=name, spread_ties=True)
     if indexed.total < n:
         raise ValueError(f"cannot take {n} rows from {indexed.total}")
     head = indexed.frame.where(F.col(name) < n)
@@ -107,7 +122,7 @@ def train_test_split(
 ) -> DataFrame:
     """Label rows 'test' or 'train'; the test part has ``ceil(share * n)`` rows."""
     keys = [key] if isinstance(key, str) else list(key)
-    _, (cut,) = hash_cuts(df, keys, seed, lambda n: [math.ceil(test_share * n)])
+    (cut,) = _unique_cuts(df, keys, seed, lambda n: [math.ceil(test_share * n)])
     is_test = _below(seeded_hash(seed, *keys), cut)
     return df.withColumn(name, F.when(is_test, "test").otherwise("train"))
 
@@ -122,7 +137,7 @@ def node_split(
         val = round(val_share * n)
         return [val, val + round(test_share * n)]
 
-    _, (val_cut, test_cut) = hash_cuts(labelled, ["key"], seed, ranks)
+    val_cut, test_cut = _unique_cuts(labelled, ["key"], seed, ranks)
     hashed = seeded_hash(seed, "key")
     split = (
         F.when(F.col("node_type") != target, F.lit(None))
@@ -140,5 +155,5 @@ def pick_seeds(
     typed = nodes.where(F.col("node_type") == node_type)
     if idx is not None:
         return typed.where(F.col("idx") == idx)
-    _, (cut,) = hash_cuts(typed, ["key"], seed, lambda _: [count])
+    (cut,) = _unique_cuts(typed, ["key"], seed, lambda _: [count])
     return typed.where(_below(seeded_hash(seed, "key"), cut))

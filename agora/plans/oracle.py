@@ -272,6 +272,11 @@ oracle(
               case when score > -20 then 0 end reputation, is_accepted, score from qa_answers""",
     "qa_answers",
 )
+FILES = "benchmark conversations customer documents embeddings events labels lineitem nation orders pages part region supplier"
+oracle(
+    "discover_table_files",
+    " union all ".join(f"select '{name}.parquet' as name, cast(1 as bigint) copies" for name in FILES.split()),
+)
 oracle("graph_store_pruned_read", "select * from qa_edges where relation = 'asks'", "qa_edges")
 
 # Cleaning and projection ---------------------------------------------------

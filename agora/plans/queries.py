@@ -89,11 +89,12 @@ def table_round_trip(spark, d):
 
 
 def _landed_pages(spark: SparkSession, items: DataFrame, size: int, key: str) -> str:
-    """Items grouped to pages of a fixed size and landed as one JSON document for each page."""
-    page = F.floor(F.col(key) / size).alias("page")
+    """Items dealt to pages of a fixed size and landed as one JSON document for each page."""
     path = scratch_path(spark, "pages")
+    numbered = ordering.dense_index(items.select(key, "item"), [key], spread_ties=True)
     document = F.to_json(F.struct(F.collect_list("item").alias("items"), F.lit(False).alias("has_more")))
-    items.groupBy(page).agg(document.alias("value")).select("value").write.text(path)
+    paged = numbered.groupBy(F.floor(F.col("idx") / size)).agg(document.alias("value"))
+    paged.select("value").write.text(path)
     return path
 
 
@@ -128,9 +129,7 @@ def _answer_pages(spark, d) -> str:
         "answer_id", "question_id", "is_accepted", "score", F.when(F.col("score") > -20, owner).alias("owner")
     )
     rows = fixtures.qa_answers(spark, d).select("answer_id", item.alias("item"))
-    # The answer ids are spread over 60 bits: pages by range keep about a hundred items at any size.
-    numbered = ordering.dense_index(rows.select("answer_id", "item"), ["answer_id"], spread_ties=True)
-    return _landed_pages(spark, numbered, 100, "idx")
+    return _landed_pages(spark, rows, 100, "answer_id")
 
 
 @query

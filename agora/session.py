@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -46,8 +49,26 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{checkpoint_dir(spark)}/tables/{label}-{uuid.uuid4().hex}"
+    folder = _scope.get() or f"{checkpoint_dir(spark)}/tables"
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[str]:
+    """Tables materialized inside are deleted at the end, as a training epoch's are."""
+    folder = scratch_path(spark, "scope")
+    token = _scope.set(folder)
+    try:
+        yield folder
+    finally:
+        _scope.reset(token)
+        context = spark.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:

@@ -67,10 +67,13 @@ def test_exact_sample_and_refined_histogram(spark, monkeypatch):
         sampling.sample_exact(df, 501, "k")
 
 
-def test_repeated_key_at_a_cut_is_an_error(spark):
-    df = spark.createDataFrame([(1,)] * 4, "k int")
+def test_repeated_keys_are_sampled_exactly_but_not_split(spark):
+    df = spark.createDataFrame([(1, v) for v in range(6)] + [(2, 9)] * 4, "k int, v int")
+    for n in range(11):
+        assert sampling.sample_exact(df, n, "k").count() == n
+    assert rows(sampling.sample_exact(df, 3, "k")) == rows(sampling.sample_exact(df.repartition(6), 3, "k"))
     with pytest.raises(ValueError):
-        sampling.sample_exact(df, 2, "k")
+        sampling.train_test_split(df, "k")
 
 
 def test_first_rows(spark):

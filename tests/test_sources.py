@@ -1,4 +1,5 @@
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -85,6 +86,14 @@ def test_checkpoint_folder_comes_from_the_session(spark):
     assert all(f.startswith("file:") and "/tables/t-" in f for f in stored.inputFiles())
 
 
+def test_scope_removes_its_tables(spark):
+    with session.scratch_scope(spark) as folder:
+        inside = session.materialize(spark.range(3), "gone")
+        assert inside.count() == 3 and folder in inside.inputFiles()[0]
+    assert not Path(folder.removeprefix("file:")).exists()
+    assert "/scope-" not in session.scratch_path(spark, "later")
+
+
 def test_remote_master_needs_a_shared_folder(monkeypatch):
     class Context:
         master = "spark://somewhere:7077"
