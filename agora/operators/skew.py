@@ -24,15 +24,18 @@ def heavy_keys(df: DataFrame, columns: Sequence[str], share: float = HEAVY_SHARE
     need no spreading, have none.
     """
     sample = df.select(*columns).sample(SAMPLE_SHARE, seed=1)
-    return {c: _heavy_values(sample, c, share) for c in columns}
+    # One job for all columns: counts per value of each column, and the total as the empty set.
+    counts = sample.groupingSets([[c] for c in columns] + [[]], *columns).agg(
+        F.count(F.lit(1)).alias("_n"), *[F.grouping(c).alias(f"_without_{c}") for c in columns]
+    )
+    most = len(columns) * (math.ceil(1 / share) + 1) + 1  # values above the share, NULL groups, the total
+    rows = counts.where(F.col("_n") >= MIN_SAMPLED).orderBy(F.desc("_n")).limit(most).collect()
+    total = max((r["_n"] for r in rows), default=0)
 
+    def heavy(r, c):
+        return r[f"_without_{c}"] == 0 and r[c] is not None and r["_n"] > share * total
 
-def _heavy_values(sample: DataFrame, column: str, share: float) -> list:
-    counts = sample.rollup(column).agg(F.count(F.lit(1)).alias("n"), F.grouping(column).alias("all"))
-    most = math.ceil(1 / share) + 2  # the total, the NULL group and every value above the share
-    rows = counts.where(F.col("n") >= MIN_SAMPLED).orderBy(F.desc("n"), F.desc("all")).limit(most).collect()
-    total = max((r["n"] for r in rows if r["all"] == 1), default=0)
-    return [r[column] for r in rows if r["all"] == 0 and r[column] is not None and r["n"] > share * total]
+    return {c: [r[c] for r in rows if heavy(r, c)] for c in columns}
 
 
 def salted_join(

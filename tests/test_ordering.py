@@ -120,3 +120,6 @@ def test_salted_join_equals_plain_join(spark, how):
 def test_heavy_keys_finds_the_hot_value(spark):
     df = spark.range(60_000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k"))
     assert heavy_keys(df, ["k"]) == {"k": [7]}
+    both = df.withColumn("t", F.when(F.col("k") == 7, "hot").when(F.col("k") % 2 == 0, None).otherwise(F.col("k").cast("string")))
+    assert heavy_keys(both, ["k", "t"]) == {"k": [7], "t": ["hot"]}
+    assert heavy_keys(df.limit(50), ["k"]) == {"k": []}
