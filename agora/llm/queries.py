@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import ann, decontaminate, html_text, langid, minhash, mixing, pii, sharding, toxicity
+from agora.llm import ann, decontaminate, html_text, langid, lm, minhash, mixing, pii, sharding, toxicity
 from agora.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -16,6 +16,10 @@ def op1_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.document_components(table(spark, sf_dir, "documents"))
 
 
+def op2_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.document_scores(table(spark, sf_dir, "documents"))
+
+
 def op3_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.document_spans(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
+    "op2_language_model": op2_language_model,
     "op3_personal_data": op3_personal_data,
     "op4_toxicity": op4_toxicity,
     "op5_nearest_neighbours": op5_nearest_neighbours,
