@@ -4,13 +4,16 @@ A document is its set of distinct shingles of five words. Documents with equal s
 class is embedded as ``COORDINATES`` minwise tokens. A tree sends every class down the paths that the tree's random
 choices select: the root selects ``ROOT_FAN`` tokens, every later node one token and with some chance a second, so that
 a pair at the threshold shares one child on average. Classes with the same selected token are together in a node. Nodes
-of at most ``SMALL`` classes are compared exhaustively; in larger ones every class is compared with a random pivot, and
-the node is branched again unless all its classes are already connected. Independent trees are repeated until a pair at
+of at most ``SMALL`` classes are compared exhaustively; in larger ones every class is compared with a few pivots, the
+class that meets most others in the tree's nodes and random ones, and the node is branched again unless all its classes
+are already connected. Independent trees are repeated until a pair at
 the threshold is found with probability ``recall``.
 
 Only pairs of classes that are not yet connected are compared, first by their tokens, then on their full sets. So a
 group of thousands of near copies costs a few comparisons for each member, and no link between its members is needed
-beyond those that connect it.
+beyond those that connect it. Pairs of one neighbourhood are verified in blocks: a set travels once for each block of
+partners, not for each pair. The token filter misses a pair at the threshold with probability ``FILTER_RISK``, and a pair
+clearly above it practically never.
 
 Defined cases: null and empty texts have no shingles and are linked with nothing. Rows without an id belong to the
 class of their text; they are kept only if no document of the class has an id. Rows that share an id are judged each by
@@ -24,6 +27,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -33,9 +37,12 @@ from agora.llm.hashing import chunks, mix, shingle_sets, texts_of, word_hashes
 from agora.session import materialize
 
 SHINGLE = 5
-COORDINATES = 64
+COORDINATES = 128
 ROOT_FAN = 2
-SMALL = 32
+SMALL = 256
+RANDOM_PIVOTS = 3
+FILTER_RISK = 1e-6
+BLOCK = 64  # classes on either side of a block of pairs
 DEEPEST = 40  # a node that is still large here is compared exhaustively; its size halves long before
 _RNG = np.random.Generator(np.random.PCG64(31337))
 _XOR = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64)
@@ -112,7 +119,7 @@ def _full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             words, bounds = word_hashes(data, offsets, at, end)
             sets = list(shingle_sets(words, bounds, SHINGLE))
             ends = np.cumsum([0, *map(len, sets)]).astype(np.int32)
-            values = np.concatenate(sets).view(np.int64)
+            values = np.concatenate([np.sort(x.view(np.int64)) for x in sets])
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).slice(at, end - at), pa.ListArray.from_arrays(pa.array(ends), pa.array(values))],
                 names=["rep", "shingles"],
@@ -143,78 +150,173 @@ def _children(rule: Similarity) -> Column:
     return F.explode(F.when(second, F.array(*child)).otherwise(F.array(child[0])))
 
 
-def _nodes(rows: DataFrame) -> DataFrame:
-    """Rows (node, rep) of nodes with two classes or more, with the node's size and pivot."""
-    facts = rows.groupBy("node").agg(
-        F.count(F.lit(1)).alias("size"), F.min_by("rep", F.xxhash64("node", "rep")).alias("pivot")
-    )
-    return rows.join(facts.where("size > 1"), "node")
+def _nodes(rows: DataFrame, label: str) -> DataFrame:
+    """Rows (node, rep, size) of nodes with two classes or more."""
+    sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    return materialize(rows.join(sizes, "node"), label)
+
 
+def _ranked(score: Column, *tie: str) -> Column:
+    """One number to order by: a score, then a hash. Numbers keep the aggregation in hash tables."""
+    return score.cast("long") * (1 << 20) + F.pmod(F.xxhash64(*tie), F.lit(1 << 20))
 
-def _ordered(a: str, b: str) -> list[Column]:
-    return [F.least(a, b).alias("a"), F.greatest(a, b).alias("b")]
 
+def _with_pivots(rows: DataFrame) -> DataFrame:
+    """Add ``pivots`` to (node, rep, size): the class of the node that meets most others, and random ones.
 
-def _verified(pairs: DataFrame, near: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
-    """The pairs (a, b) that are linked: token estimate first, then the full sets."""
+    A text from which many copies were made meets most of them, whereas two copies may meet seldom.
+    """
+    met = rows.groupBy("rep").agg(F.sum("size").alias("met"))
+    chosen = rows.join(met, "rep").groupBy("node").agg(
+        F.max_by("rep", _ranked(F.col("met"), "rep")).alias("central"),
+        *[F.min_by("rep", F.xxhash64("node", "rep", F.lit(k))).alias(f"p{k}") for k in range(RANDOM_PIVOTS)],
+    )
+    pivots = F.array_distinct(F.array("central", *[f"p{k}" for k in range(RANDOM_PIVOTS)]))
+    return rows.join(chosen.select("node", pivots.alias("pivots")), "node")
+
+
+def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
+    """Frames sorted by ``columns``, cut into groups of equal values; a group may span frames."""
+    held: pd.DataFrame | None = None
+    for frame in frames:
+        if not len(frame):
+            continue
+        frame = frame if held is None else pd.concat([held, frame], ignore_index=True)
+        values = frame[columns].to_numpy()
+        cuts = np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1
+        for lo, hi in zip([0, *cuts[:-1]], cuts):
+            yield frame.iloc[lo:hi]
+        held = frame.iloc[cuts[-1] if len(cuts) else 0 :]
+    if held is not None:
+        yield held
+
+
+def _compared(rows: DataFrame, near: DataFrame, rule: Similarity) -> DataFrame:
+    """Candidates (a, b, na, nb, hub) of small nodes: each pair of different components that its tokens may link."""
+    least, percent = rule.least_equal(COORDINATES, FILTER_RISK), rule.percent
+
+    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(frames, ["node"]):
+            reps, component = group["rep"].to_numpy(), group["component"].to_numpy()
+            sizes = group["n_shingles"].to_numpy()
+            tokens = np.array(group["tokens"].tolist(), dtype=np.int32)
+            out = []
+            for i in range(len(group) - 1):
+                equal = (tokens[i + 1 :] == tokens[i]).sum(axis=1)
+                low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+                good = (component[i + 1 :] != component[i]) & (equal >= least) & (low * 100 >= high * percent)
+                for j in np.flatnonzero(good) + i + 1:
+                    first, last = (i, j) if reps[i] < reps[j] else (j, i)
+                    out.append((reps[first], reps[last], sizes[first], sizes[last], group["hub"].iloc[0]))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b", "na", "nb", "hub"])
+
+    kind = near.schema["rep"].dataType.simpleString()
+    whole = rows.join(near.select("rep", "n_shingles", "tokens"), "rep")
+    whole = whole.select("node", "rep", "component", "hub", "n_shingles", "tokens").repartition("node").sortWithinPartitions("node")
+    return whole.mapInPandas(compare, f"a {kind}, b {kind}, na long, nb long, hub {kind}")
+
+
+def _starred(pairs: DataFrame, near: DataFrame, rule: Similarity) -> DataFrame:
+    """Candidates (a, b, na, nb, hub) among pairs (rep, pivot, hub)."""
+    pairs = pairs.select(F.least("rep", "pivot").alias("a"), F.greatest("rep", "pivot").alias("b"), "hub").where("a <> b").distinct()
     tokens = near.select("rep", "n_shingles", "tokens")
     of = {x: tokens.select(*[F.col(c).alias(v) for c, v in zip(tokens.columns, (x, f"n{x}", f"t{x}"))]) for x in "ab"}
-    found = pairs.where("a <> b").distinct().join(of["a"], "a")
-    low, high = F.least("na", "nb"), F.greatest("na", "nb")
+    found = pairs.join(of["a"], "a").join(of["b"], "b")
     equal = F.size(F.filter(F.zip_with("ta", "tb", lambda x, y: x == y), lambda e: e))
-    found = found.join(of["b"], "b").where(low * 100 >= high * rule.percent)
-    found = found.where(equal >= rule.least_equal(COORDINATES, 1e-10)).select("a", "b", "na", "nb")
-    found = materialize(found, "candidates")
-    whole = found.join(sets.select(F.col("rep").alias("a"), F.col("shingles").alias("sa")), "a")
-    whole = whole.join(sets.select(F.col("rep").alias("b"), F.col("shingles").alias("sb")), "b")
-    both = F.size(F.array_intersect("sa", "sb"))
-    linked = whole.withColumn("both", both).where(F.col("both") * 100 >= (F.col("na") + F.col("nb") - F.col("both")) * rule.percent)
-    return materialize(linked.select("a", "b"), "verified")
+    found = found.where(F.least("na", "nb") * 100 >= F.greatest("na", "nb") * rule.percent)
+    return found.where(equal >= rule.least_equal(COORDINATES, FILTER_RISK)).select("a", "b", "na", "nb", "hub")
+
+
+def _verified(candidates: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+    """The candidates (a, b) that are linked, judged on their full sets, block by block."""
+    percent = rule.percent
+    once = candidates.groupBy("a", "b").agg(F.min("hub").alias("hub"), F.first("na").alias("na"), F.first("nb").alias("nb"))
+    once = materialize(once, "candidates")
+    members = once.select("hub", F.col("a").alias("rep")).unionByName(once.select("hub", F.col("b").alias("rep"))).distinct()
+    blocks = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
+    x, y = (F.pmod(F.xxhash64(c), F.col("blocks")) for c in "ab")
+    placed = once.join(blocks, "hub").withColumn("x", F.least(x, y)).withColumn("y", F.greatest(x, y))
+    place = ["hub", "x", "y"]
+    ends = placed.select(*place, F.col("a").alias("rep")).unionByName(placed.select(*place, F.col("b").alias("rep"))).distinct()
+    kind = sets.schema["rep"].dataType.simpleString()
+    held = ends.join(sets, "rep").select(*place, F.lit(0).alias("what"), F.col("rep").alias("a"), F.col("rep").alias("b"), "shingles")
+    asked = placed.select(*place, F.lit(1).alias("what"), "a", "b", F.lit(None).cast("array<long>").alias("shingles"))
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(frames, place):
+            whole = group["what"].to_numpy() == 0
+            own: dict = {}
+            for rep, shingles in zip(group["a"][whole], group["shingles"][whole]):
+                own.setdefault(rep, []).append(np.asarray(shingles))
+            out = []
+            pairs = group[~whole]
+            for a, b in zip(pairs["a"], pairs["b"]):
+                for one in own[a]:
+                    for two in own[b]:
+                        spots = np.searchsorted(one, two)
+                        both = int((one[np.minimum(spots, len(one) - 1)] == two).sum())
+                        if 100 * both >= percent * (len(one) + len(two) - both):
+                            out.append((a, b))
+            if out:
+                yield pd.DataFrame(out, columns=["a", "b"])
+
+    rows = held.unionByName(asked).repartition(*place).sortWithinPartitions(*place, "what")
+    return materialize(rows.mapInPandas(judge, f"a {kind}, b {kind}").distinct(), "verified")
+
+
+def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
+    """(rep, component) after ``links`` (a, b): whole components are joined, of which there are few."""
+    of = [known.select(F.col("rep").alias(x), F.col("component").alias(f"c{x}")) for x in "ab"]
+    between = links.join(of[0], "a").join(of[1], "b").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+    tops = connected_components(between).select(F.col("node").alias("component"), "label")
+    joined = known.join(tops, "component", "left").select("rep", F.coalesce("label", "component").alias("component"))
+    return materialize(joined, "components")
 
 
 def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFrame:
     """(rep, component) of every class that is linked with another; ``classes`` has rep, n_shingles and tokens."""
-    rows = materialize(_nodes(classes.select("rep", _root(rule).alias("node"))), "nodes")
+    rows = _nodes(classes.select("rep", _root(rule).alias("node")), "nodes")
     picks = rule.trees * ROOT_FAN
     # A linked class shares most selected tokens with its partner; one with few shared nodes has no partner.
     least = rule.least_equal(picks, 1e-7)
     reps = rows.groupBy("rep").count().where(F.col("count") >= least).select("rep")
     near = materialize(classes.join(reps, "rep"), "near")
-    rows = rows.join(near.select("rep").distinct(), "rep", "left_semi")
+    rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "rep", "size")
+    rows = materialize(_with_pivots(rows), "pivots")
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct(), "rep", "left_semi")
     rep_type = classes.schema["rep"].dataType.simpleString()
     sets = materialize(texts.select("rep", "text").mapInArrow(_full_sets, f"rep {rep_type}, shingles array<long>"), "sets")
 
     # First every class with the pivot that it meets most often: that connects most groups.
-    met = rows.where("rep <> pivot").groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("times"))
-    first = met.groupBy("rep").agg(F.max_by("pivot", F.struct("times", F.xxhash64("rep", "pivot"))).alias("pivot"))
-    links = _verified(first.select(*_ordered("rep", "pivot")), near, sets, rule)
-    labels = connected_components(links).select(F.col("node").alias("rep"), F.col("label").alias("component"))
+    met = rows.select("rep", F.explode("pivots").alias("pivot")).where("rep <> pivot")
+    met = met.groupBy("rep", "pivot").agg(F.count(F.lit(1)).alias("times"))
+    first = met.groupBy("rep").agg(F.max_by("pivot", _ranked(F.col("times"), "pivot")).alias("pivot"))
+    links = _verified(_starred(first.withColumn("hub", F.col("pivot")), near, rule), sets, rule)
+    known = _joined(near.select("rep", F.col("rep").alias("component")).distinct(), links)
 
     for level in range(1, DEEPEST + 1):
-        known = near.select("rep").distinct().join(labels, "rep", "left")
-        known = known.select("rep", F.coalesce("component", "rep").alias("component"))
-        rows = rows.select("node", "rep", "size", "pivot").join(known, "rep")
+        rows = rows.select("node", "rep", "size", "pivots").join(known, "rep")
         mixed = rows.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
-        open_rows = materialize(rows.join(mixed.select("node"), "node", "left_semi"), "open-nodes")
+        open_rows = rows.join(mixed.select("node"), "node", "left_semi").withColumn("hub", F.col("pivots")[0])
+        open_rows = materialize(open_rows, "open-nodes")
         if not open_rows.limit(1).count():
             break
-        small = open_rows.where(F.col("size") <= SMALL) if level < DEEPEST else open_rows
-        one = small.select("node", F.col("rep").alias("a"), F.col("component").alias("ca"))
-        two = small.select("node", F.col("rep").alias("b"), F.col("component").alias("cb"))
-        pairs = one.join(two, "node").where("a < b and ca <> cb").select("a", "b")
-        large = open_rows.where(F.col("size") > SMALL)
+        small = F.col("size") <= (SMALL if level < DEEPEST else (1 << 62))
+        candidates = _compared(open_rows.where(small), near, rule)
+        large = open_rows.where(~small)
         heads = known.select(F.col("rep").alias("pivot"), F.col("component").alias("cp"))
-        stars = large.join(heads, "pivot").where("component <> cp").select(*_ordered("rep", "pivot"))
-        more = _verified(pairs.unionByName(stars), near, sets, rule)
-        if more.limit(1).count():
-            links = materialize(links.unionByName(more).distinct(), "links")
-            labels = connected_components(links).select(F.col("node").alias("rep"), F.col("label").alias("component"))
+        stars = large.select("rep", "component", "hub", F.explode("pivots").alias("pivot")).distinct()
+        stars = stars.join(heads, "pivot").where("component <> cp").select("rep", "pivot", "hub")
+        links = _verified(candidates.unionByName(_starred(stars, near, rule)), sets, rule)
+        if links.limit(1).count():
+            known = _joined(known, links)
         if not large.limit(1).count():
             break
         deeper = large.select("node", "rep").join(near.select("rep", "tokens"), "rep")
-        rows = materialize(_nodes(deeper.select("rep", _children(rule).alias("node")).distinct()), "nodes")
-    return labels
+        rows = _nodes(deeper.select("rep", _children(rule).alias("node")).distinct(), "nodes")
+        rows = materialize(_with_pivots(rows), "pivots")
+    return known
 
 
 def near_duplicates(docs: DataFrame, rule: Similarity = Similarity()) -> DataFrame:

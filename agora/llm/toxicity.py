@@ -28,11 +28,13 @@ from pyspark.sql import functions as F
 from agora.llm.text import bucket
 
 DECAY = 0.6
-WIDTH = 14  # letters that are compared at a time; longer strings are scored by overlapping windows
-STEP = 7
+WIDTH = 10  # letters that are compared at a time; longer strings are scored by overlapping windows
+STEP = 5
 PER_LABEL = 4000
-LANDMARKS = 96
+LANDMARKS = 256  # three quarters of them insults at most
+OTHERS = 60_000  # other words that the machine is trained against
 COST = 20.0
+RIDGE = 0.3  # of the logistic scale
 THRESHOLD = 0.3
 LIFT = 20.0  # a seed is this many times as frequent in toxic texts
 SPREAD = 3  # and occurs in so many different sentences
@@ -113,17 +115,23 @@ def _by_length(words: list[str]) -> Iterator[tuple[np.ndarray, list[str]]]:
 
 
 def features(words: list[str]) -> np.ndarray:
-    """Normalised triple weights, a dense row for each word of at most WIDTH letters. For a bounded list of words."""
+    """Normalised triple weights, a dense row for each word of at most WIDTH letters. For a short list of words."""
     out = np.zeros((len(words), _TRIPLES), dtype=np.float32)
     for part, same in _by_length(words):
         if len(same[0]) >= 3:
             codes, weights = _codes(same)
-            norms = _norms(codes, weights)
-            for row, code, norm in zip(part, codes, norms):
-                np.add.at(out[row], code, (weights / norm).astype(np.float32))
+            values = np.broadcast_to(weights, codes.shape) / _norms(codes, weights)[:, None]
+            rows = np.repeat(part, codes.shape[1])
+            np.add.at(out, (rows, codes.ravel()), values.ravel().astype(np.float32))
     return out
 
 
+def embedded(words: list[str], basis: np.ndarray) -> np.ndarray:
+    """The words in the space of the landmarks, some at a time."""
+    parts = [features(words[k : k + 256]) @ basis for k in range(0, len(words), 256)]
+    return np.concatenate(parts).astype(np.float64)
+
+
 def windows(word: str) -> list[str]:
     if len(word) <= WIDTH:
         return [word]
@@ -177,16 +185,25 @@ def seeds(texts: list[str], toxic: list[int]) -> list[str]:
         share = texts_with[1][word] / n[1]
         return len(inside[word]) >= least and share >= LIFT * (texts_with[0].get(word, 0) + 0.5) / n[0]
 
-    return sorted(w for w in inside if 4 <= len(w) <= WIDTH and marks(w))
+    # A word that begins with a common one of other texts would make the common one look like an insult.
+    common = {w for w, n_clean in texts_with[0].items() if n_clean >= SPREAD}
+
+    def extends(word: str) -> bool:
+        return any(word[:n] in common for n in range(max(4, len(word) // 2 + 1), len(word)))
+
+    return sorted(w for w in inside if len(w) >= 4 and marks(w) and not extends(w))
 
 
 def _varied(words: list[str], rng: np.random.Generator) -> list[str]:
-    """The words, and each with a letter put in after every letter but the last."""
-    out = list(words)
+    """The words, with a letter put in after each letter but the last, and long ones with an inner letter left out."""
+    out = dict.fromkeys(w[:WIDTH] for w in words)
     for word in words:
         for at in range(1, len(word)):
-            out.append((word[:at] + chr(97 + rng.integers(26)) + word[at:])[:WIDTH])
-    return out
+            out[(word[:at] + chr(97 + rng.integers(26)) + word[at:])[:WIDTH]] = None
+            out[(word[:at] + word[at - 1 :])[:WIDTH]] = None
+            if len(word) >= 6 and at < len(word) - 1:
+                out[(word[:at] + word[at + 1 :])[:WIDTH]] = None
+    return list(out)
 
 
 def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
@@ -204,13 +221,13 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
 
 
 def _logistic(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and offset by damped Newton steps, a slope of at least 0."""
+    """Slope and offset by damped Newton steps; the penalty keeps the slope from running away on separable texts."""
     x = np.column_stack([margin, np.ones(len(margin))])
     w = np.array([1.0, 0.0])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - toxic) + 1e-2 * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(2)
+        grad = x.T @ (p - toxic) + RIDGE * w
+        hess = (x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(2)
         step = np.linalg.solve(hess, grad)
         w = w - step * min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
     return float(max(w[0], 0.0)), float(w[1])
@@ -221,32 +238,37 @@ def fit(texts: list[str], toxic: list[int], seed: int = 0) -> ToxicityModel:
     rate = (sum(toxic) + 0.5) / (len(toxic) + 1)
     found = seeds(texts, toxic)
     flat = ToxicityModel(np.zeros(_TRIPLES), 0.0, 0.0, math.log(rate / (1 - rate)))
-    clean: dict[str, None] = {}
+    clean: dict[str, int] = {}  # number of texts
     for text, label in zip(texts, toxic):
         if not label:
-            clean.update(dict.fromkeys(p for w in sorted(strings(text)) for p in windows(letters(w)) if len(p) >= 3))
+            for piece in dict.fromkeys(p for w in sorted(strings(text)) for p in windows(letters(w)) if len(p) >= 3):
+                clean[piece] = clean.get(piece, 0) + 1
     others = [w for w in clean if w not in set(found)]
     if not found or not others:
         return flat
     rng = np.random.default_rng(seed)
+    others = [others[i] for i in rng.permutation(len(others))[:OTHERS]]
     positive = _varied(found, rng)
-    marks = found[: LANDMARKS // 2] + [others[i] for i in rng.permutation(len(others))[: LANDMARKS - min(len(found), LANDMARKS // 2)]]
-    marked = features(marks).astype(np.float64)
-    values, vectors = np.linalg.eigh(marked @ marked.T)
-    keep = values > 1e-8
+    most = LANDMARKS * 3 // 4
+    marks = [found[i][:WIDTH] for i in sorted(rng.permutation(len(found))[:most])]
+    marks = list(dict.fromkeys(marks + others[: LANDMARKS - len(marks)]))
+    marked = features(marks)
+    values, vectors = np.linalg.eigh((marked @ marked.T).astype(np.float64))
+    keep = values > 1e-6
     half = vectors[:, keep] / np.sqrt(values[keep])
-    basis = marked.T @ half  # triples to Nyström features
-    negative = [others[i] for i in rng.permutation(len(others))[:2000]]
+    basis = (marked.T @ half).astype(np.float32)  # triples to Nyström features
+    negative = others[:3000]
+    x_positive = embedded(positive, basis)
     model = flat
-    for _ in range(4):
-        words = positive + negative
-        x = features(words) @ basis
+    for _ in range(3):
+        x = np.vstack([x_positive, embedded(negative, basis)])
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
-        w = _machine(x, y, np.where(y > 0, COST * len(negative) / len(positive) / 10, COST))
+        often = np.array([1.0] * len(positive) + [1.0 + math.log(clean[w]) for w in negative])
+        w = _machine(x, y, COST * often)
         model = ToxicityModel(basis @ w[:-1], float(w[-1]), 1.0, 0.0)
-        # The clean words that look most like insults join the training.
+        # The other words that look most like insults join the training.
         margin = model.margins(others)
-        hard = [others[i] for i in np.argsort(-margin, kind="stable")[:500]]
+        hard = [others[i] for i in np.argsort(-margin, kind="stable")[:1000]]
         grown = list(dict.fromkeys(negative + hard))
         if len(grown) == len(negative):
             break
