@@ -52,17 +52,26 @@ def targets(sizes: Sequence[int], weights: Sequence[float], share: float, most:
 def sainte_lague(claims: Sequence[float], seats: int, most: Sequence[int]) -> list[int]:
     """Seats by highest quotients claim / (2 seats + 1); ties go to the earlier claim, ``most`` bounds each.
 
-    A divisor found by bisection gives nearly all seats at once; the rest are given one by one by quotient. That is
+    A quotient found by bisection gives all seats of higher quotients at once; the rest are given one by one. That is
     the same as giving every seat by quotient, without a step for each.
     """
     seats = min(seats, sum(m for c, m in zip(claims, most) if c > 0))
     if seats <= 0:
         return [0] * len(claims)
 
-    def given(divisor: float) -> list[int]:
-        return [min(m, math.floor(c / divisor + 0.5)) if c > 0 else 0 for c, m in zip(claims, most)]
+    def reached(claim: float, quotient: float) -> int:
+        """Seats whose quotients are at least ``quotient``."""
+        n = max(0, math.floor((claim / quotient + 1) / 2))
+        while n and claim / (2 * n - 1) < quotient:
+            n -= 1
+        while claim / (2 * n + 1) >= quotient:
+            n += 1
+        return n
 
-    high = 4.0 * max(claims)  # gives nothing
+    def given(quotient: float) -> list[int]:
+        return [min(m, reached(c, quotient)) if c > 0 else 0 for c, m in zip(claims, most)]
+
+    high = 2.0 * max(claims)  # gives nothing
     low = high
     while sum(given(low)) < seats:
         low /= 2
