@@ -30,7 +30,7 @@ from agora.llm.text import bucket
 DECAY = 0.6
 WIDTH = 10  # letters that are compared at a time; longer strings are scored by overlapping windows
 STEP = 5
-PER_LABEL = 4000
+PER_LABEL = 2500
 LANDMARKS = 256  # three quarters of them insults at most
 OTHERS = 60_000  # other words that the machine is trained against
 COST = 20.0
@@ -166,15 +166,17 @@ class ToxicityModel:
 
 def seeds(texts: list[str], toxic: list[int]) -> list[str]:
     """Words that mark toxic sentences: frequent in different sentences of toxic texts, rare in other texts."""
-    inside: dict[str, set[int]] = {}
-    texts_with = [{}, {}]
+    inside: dict[str, int] = {}  # different sentences of toxic texts
+    known: set[str] = set()
+    texts_with: tuple[dict[str, int], dict[str, int]] = ({}, {})
     for text, label in zip(texts, toxic):
-        seen = set()
+        seen: set[str] = set()
         for sentence in set(_SENTENCE.split(text.lower())):
             own = {letters(w) for w in strings(sentence)}
-            if label:
+            if label and sentence not in known:
+                known.add(sentence)
                 for word in own:
-                    inside.setdefault(word, set()).add(hash(sentence))
+                    inside[word] = inside.get(word, 0) + 1
             seen |= own
         for word in seen:
             texts_with[bool(label)][word] = texts_with[bool(label)].get(word, 0) + 1
@@ -183,7 +185,7 @@ def seeds(texts: list[str], toxic: list[int]) -> list[str]:
 
     def marks(word: str) -> bool:
         share = texts_with[1][word] / n[1]
-        return len(inside[word]) >= least and share >= LIFT * (texts_with[0].get(word, 0) + 0.5) / n[0]
+        return inside[word] >= least and share >= LIFT * (texts_with[0].get(word, 0) + 0.5) / n[0]
 
     # A word that begins with a common one of other texts would make the common one look like an insult.
     common = {w for w, n_clean in texts_with[0].items() if n_clean >= SPREAD}
