@@ -39,7 +39,7 @@ from agora.session import materialize
 SHINGLE = 5
 COORDINATES = 128
 ROOT_FAN = 2
-SMALL = 256
+SMALL = 2048
 RANDOM_PIVOTS = 3
 FILTER_RISK = 1e-6
 BLOCK = 64  # classes on either side of a block of pairs
@@ -66,7 +66,7 @@ class Similarity:
         second = 1 / self.share - 1  # chance of a second token
         child = self.share * (1 - (1 - self.share) * second)
         miss = (1 - self.share * child) ** ROOT_FAN
-        return max(1, min(COORDINATES // ROOT_FAN, math.ceil(math.log(1 - self.recall) / math.log(miss))))
+        return max(1, min(31, math.ceil(math.log(1 - self.recall) / math.log(miss))))
 
     def least_equal(self, tokens: int, risk: float) -> int:
         """Most k such that a linked pair has fewer than k of ``tokens`` in common with at most this chance."""
@@ -138,8 +138,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _root(rule: Similarity) -> Column:
-    picks = [(tree, tree * ROOT_FAN + k) for tree in range(rule.trees) for k in range(ROOT_FAN)]
-    return F.explode(F.array(*[F.xxhash64(F.lit(tree), F.lit(i), F.col("tokens")[i]) for tree, i in picks]))
+    """Every tree selects its own tokens at the root; ``pick`` is the selected token's number."""
+    nodes = [F.xxhash64(F.lit(i // ROOT_FAN), F.lit(i), F.col("tokens")[i]) for i in range(rule.trees * ROOT_FAN)]
+    return F.posexplode(F.array(*nodes)).alias("pick", "node")
 
 
 def _children(rule: Similarity) -> Column:
@@ -151,7 +152,7 @@ def _children(rule: Similarity) -> Column:
 
 
 def _nodes(rows: DataFrame, label: str) -> DataFrame:
-    """Rows (node, rep, size) of nodes with two classes or more."""
+    """Rows (node, pick, rep, size) of nodes with two classes or more."""
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return materialize(rows.join(sizes, "node"), label)
 
@@ -162,17 +163,21 @@ def _ranked(score: Column, *tie: str) -> Column:
 
 
 def _with_pivots(rows: DataFrame) -> DataFrame:
-    """Add ``pivots`` to (node, rep, size): the class of the node that meets most others, and random ones.
+    """Add ``pivots`` to (node, pick, rep, size): the class of the node that meets most others, and random ones.
+
+    ``large_picks`` has a bit for each root node of the class that is larger than ``SMALL``.
 
     A text from which many copies were made meets most of them, whereas two copies may meet seldom.
     """
-    met = rows.groupBy("rep").agg(F.sum("size").alias("met"))
-    chosen = rows.join(met, "rep").groupBy("node").agg(
+    large = F.when((F.col("size") > SMALL) & (F.col("pick") >= 0), F.expr("shiftleft(1L, pick)")).otherwise(F.lit(0).cast("long"))
+    met = rows.groupBy("rep").agg(F.sum("size").alias("met"), F.bit_or(large).alias("large_picks"))
+    rows = rows.join(met, "rep")
+    chosen = rows.groupBy("node").agg(
         F.max_by("rep", _ranked(F.col("met"), "rep")).alias("central"),
         *[F.min_by("rep", F.xxhash64("node", "rep", F.lit(k))).alias(f"p{k}") for k in range(RANDOM_PIVOTS)],
     )
     pivots = F.array_distinct(F.array("central", *[f"p{k}" for k in range(RANDOM_PIVOTS)]))
-    return rows.join(chosen.select("node", pivots.alias("pivots")), "node")
+    return rows.drop("met").join(chosen.select("node", pivots.alias("pivots")), "node")
 
 
 def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
@@ -192,28 +197,38 @@ def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.D
 
 
 def _compared(rows: DataFrame, near: DataFrame, rule: Similarity) -> DataFrame:
-    """Candidates (a, b, na, nb, hub) of small nodes: each pair of different components that its tokens may link."""
-    least, percent = rule.least_equal(COORDINATES, FILTER_RISK), rule.percent
+    """Candidates (a, b, na, nb, hub) of small nodes: each pair of different components that its tokens may link.
+
+    A pair that meets in many small nodes under the roots is compared in all and a candidate of the first.
+    """
+    least, percent, picks = rule.least_equal(COORDINATES, FILTER_RISK), rule.percent, rule.trees * ROOT_FAN
 
     def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for group in _groups(frames, ["node"]):
             reps, component = group["rep"].to_numpy(), group["component"].to_numpy()
             sizes = group["n_shingles"].to_numpy()
             tokens = np.array(group["tokens"].tolist(), dtype=np.int32)
+            pick, hub = int(group["pick"].iloc[0]), group["hub"].iloc[0]
+            # Two classes that meet in a root node both have its bit, so either's bits tell which nodes count.
+            is_open = (group["large_picks"].to_numpy()[:, None] >> np.arange(picks) & 1) == 0
             out = []
             for i in range(len(group) - 1):
-                equal = (tokens[i + 1 :] == tokens[i]).sum(axis=1)
+                same = tokens[i + 1 :] == tokens[i]
+                equal = same.sum(axis=1)
                 low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
                 good = (component[i + 1 :] != component[i]) & (equal >= least) & (low * 100 >= high * percent)
+                if pick >= 0:
+                    good &= (same[:, :picks] & is_open[i]).argmax(axis=1) == pick
                 for j in np.flatnonzero(good) + i + 1:
                     first, last = (i, j) if reps[i] < reps[j] else (j, i)
-                    out.append((reps[first], reps[last], sizes[first], sizes[last], group["hub"].iloc[0]))
+                    out.append((reps[first], reps[last], sizes[first], sizes[last], hub))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b", "na", "nb", "hub"])
 
     kind = near.schema["rep"].dataType.simpleString()
     whole = rows.join(near.select("rep", "n_shingles", "tokens"), "rep")
-    whole = whole.select("node", "rep", "component", "hub", "n_shingles", "tokens").repartition("node").sortWithinPartitions("node")
+    columns = ["node", "pick", "large_picks", "rep", "component", "hub", "n_shingles", "tokens"]
+    whole = whole.select(*columns).repartition("node").sortWithinPartitions("node")
     return whole.mapInPandas(compare, f"a {kind}, b {kind}, na long, nb long, hub {kind}")
 
 
@@ -276,13 +291,13 @@ def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFrame:
     """(rep, component) of every class that is linked with another; ``classes`` has rep, n_shingles and tokens."""
-    rows = _nodes(classes.select("rep", _root(rule).alias("node")), "nodes")
+    rows = _nodes(classes.select("rep", _root(rule)), "nodes")
     picks = rule.trees * ROOT_FAN
     # A linked class shares most selected tokens with its partner; one with few shared nodes has no partner.
     least = rule.least_equal(picks, 1e-7)
     reps = rows.groupBy("rep").count().where(F.col("count") >= least).select("rep")
     near = materialize(classes.join(reps, "rep"), "near")
-    rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "rep", "size")
+    rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "pick", "rep", "size")
     rows = materialize(_with_pivots(rows), "pivots")
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct(), "rep", "left_semi")
     rep_type = classes.schema["rep"].dataType.simpleString()
@@ -296,7 +311,7 @@ def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFr
     known = _joined(near.select("rep", F.col("rep").alias("component")).distinct(), links)
 
     for level in range(1, DEEPEST + 1):
-        rows = rows.select("node", "rep", "size", "pivots").join(known, "rep")
+        rows = rows.select("node", "pick", "large_picks", "rep", "size", "pivots").join(known, "rep")
         mixed = rows.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         open_rows = rows.join(mixed.select("node"), "node", "left_semi").withColumn("hub", F.col("pivots")[0])
         open_rows = materialize(open_rows, "open-nodes")
@@ -314,7 +329,7 @@ def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFr
         if not large.limit(1).count():
             break
         deeper = large.select("node", "rep").join(near.select("rep", "tokens"), "rep")
-        rows = _nodes(deeper.select("rep", _children(rule).alias("node")).distinct(), "nodes")
+        rows = _nodes(deeper.select("rep", F.lit(-1).alias("pick"), _children(rule).alias("node")).distinct(), "nodes")
         rows = materialize(_with_pivots(rows), "pivots")
     return known
 
