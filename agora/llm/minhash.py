@@ -42,7 +42,7 @@ ROOT_FAN = 2
 SMALL = 2048
 RANDOM_PIVOTS = 3
 FILTER_RISK = 1e-6
-BLOCK = 64  # classes on either side of a block of pairs
+BLOCK = 128  # classes on either side of a block of pairs
 DEEPEST = 40  # a node that is still large here is compared exhaustively; its size halves long before
 _RNG = np.random.Generator(np.random.PCG64(31337))
 _XOR = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64)
@@ -138,9 +138,9 @@ def sketches(docs: DataFrame) -> DataFrame:
 
 
 def _root(rule: Similarity) -> Column:
-    """Every tree selects its own tokens at the root; ``pick`` is the selected token's number."""
+    """Every tree selects its own tokens at the root."""
     nodes = [F.xxhash64(F.lit(i // ROOT_FAN), F.lit(i), F.col("tokens")[i]) for i in range(rule.trees * ROOT_FAN)]
-    return F.posexplode(F.array(*nodes)).alias("pick", "node")
+    return F.explode(F.array(*nodes))
 
 
 def _children(rule: Similarity) -> Column:
@@ -152,7 +152,7 @@ def _children(rule: Similarity) -> Column:
 
 
 def _nodes(rows: DataFrame, label: str) -> DataFrame:
-    """Rows (node, pick, rep, size) of nodes with two classes or more."""
+    """Rows (node, rep, size) of nodes with two classes or more."""
     sizes = rows.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
     return materialize(rows.join(sizes, "node"), label)
 
@@ -163,21 +163,17 @@ def _ranked(score: Column, *tie: str) -> Column:
 
 
 def _with_pivots(rows: DataFrame) -> DataFrame:
-    """Add ``pivots`` to (node, pick, rep, size): the class of the node that meets most others, and random ones.
-
-    ``large_picks`` has a bit for each root node of the class that is larger than ``SMALL``.
+    """Add ``pivots`` to (node, rep, size): the class of the node that meets most others, and random ones.
 
     A text from which many copies were made meets most of them, whereas two copies may meet seldom.
     """
-    large = F.when((F.col("size") > SMALL) & (F.col("pick") >= 0), F.expr("shiftleft(1L, pick)")).otherwise(F.lit(0).cast("long"))
-    met = rows.groupBy("rep").agg(F.sum("size").alias("met"), F.bit_or(large).alias("large_picks"))
-    rows = rows.join(met, "rep")
-    chosen = rows.groupBy("node").agg(
+    met = rows.groupBy("rep").agg(F.sum("size").alias("met"))
+    chosen = rows.join(met, "rep").groupBy("node").agg(
         F.max_by("rep", _ranked(F.col("met"), "rep")).alias("central"),
         *[F.min_by("rep", F.xxhash64("node", "rep", F.lit(k))).alias(f"p{k}") for k in range(RANDOM_PIVOTS)],
     )
     pivots = F.array_distinct(F.array("central", *[f"p{k}" for k in range(RANDOM_PIVOTS)]))
-    return rows.drop("met").join(chosen.select("node", pivots.alias("pivots")), "node")
+    return rows.join(chosen.select("node", pivots.alias("pivots")), "node")
 
 
 def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.DataFrame]:
@@ -196,40 +192,73 @@ def _groups(frames: Iterator[pd.DataFrame], columns: list[str]) -> Iterator[pd.D
         yield held
 
 
-def _compared(rows: DataFrame, near: DataFrame, rule: Similarity) -> DataFrame:
-    """Candidates (a, b, na, nb, hub) of small nodes: each pair of different components that its tokens may link.
+def _partners(group: pd.DataFrame, rule: Similarity) -> Iterator[tuple[int, np.ndarray]]:
+    """For each row of a block, the later rows that its tokens may link to it, in another component."""
+    least, percent = rule.least_equal(COORDINATES, FILTER_RISK), rule.percent
+    component, sizes, side = (group[c].to_numpy() for c in ("component", "n_shingles", "side"))
+    tokens = np.array(group["tokens"].tolist(), dtype=np.int32)
+    one_block = group["low"].iloc[0] == group["high"].iloc[0]
+    for i in range(len(group) - 1):
+        good = (component[i + 1 :] != component[i]) & ((side[i + 1 :] != side[i]) | one_block)
+        good &= np.minimum(sizes[i + 1 :], sizes[i]) * 100 >= np.maximum(sizes[i + 1 :], sizes[i]) * percent
+        rest = np.flatnonzero(good) + i + 1
+        if len(rest):
+            rest = rest[(tokens[rest] == tokens[i]).sum(axis=1) >= least]
+            if len(rest):
+                yield i, rest
+
+
+def _is_link(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    spots = np.searchsorted(one, two)
+    both = int((one[np.minimum(spots, len(one) - 1)] == two).sum())
+    return 100 * both >= percent * (len(one) + len(two) - both)
+
 
-    A pair that meets in many small nodes under the roots is compared in all and a candidate of the first.
+def _exhaustive(rows: DataFrame, near: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
+    """Links (a, b) between components among all classes of a hub, for rows (hub, rep, component).
+
+    Nodes with one hub are compared as one. Its classes are dealt into blocks of about ``BLOCK``, and every two blocks
+    meet in a group of their own. Tokens tell which classes have a possible partner there; only their sets follow. Of
+    the links between two components one is enough.
     """
-    least, percent, picks = rule.least_equal(COORDINATES, FILTER_RISK), rule.percent, rule.trees * ROOT_FAN
-
-    def compare(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for group in _groups(frames, ["node"]):
-            reps, component = group["rep"].to_numpy(), group["component"].to_numpy()
-            sizes = group["n_shingles"].to_numpy()
-            tokens = np.array(group["tokens"].tolist(), dtype=np.int32)
-            pick, hub = int(group["pick"].iloc[0]), group["hub"].iloc[0]
-            # Two classes that meet in a root node both have its bit, so either's bits tell which nodes count.
-            is_open = (group["large_picks"].to_numpy()[:, None] >> np.arange(picks) & 1) == 0
-            out = []
-            for i in range(len(group) - 1):
-                same = tokens[i + 1 :] == tokens[i]
-                equal = same.sum(axis=1)
-                low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
-                good = (component[i + 1 :] != component[i]) & (equal >= least) & (low * 100 >= high * percent)
-                if pick >= 0:
-                    good &= (same[:, :picks] & is_open[i]).argmax(axis=1) == pick
-                for j in np.flatnonzero(good) + i + 1:
-                    first, last = (i, j) if reps[i] < reps[j] else (j, i)
-                    out.append((reps[first], reps[last], sizes[first], sizes[last], hub))
-            if out:
-                yield pd.DataFrame(out, columns=["a", "b", "na", "nb", "hub"])
+    members = rows.select("hub", "rep", "component").distinct()
+    hubs = members.groupBy("hub").agg(
+        F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"), F.min("component").alias("least"), F.max("component").alias("most")
+    )
+    placed = members.join(hubs.where("least <> most").select("hub", "blocks"), "hub")
+    placed = placed.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
+    placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    place = ["hub", "low", "high"]
+    placed = placed.select("hub", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "rep", "component")
+
+    def needed(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(frames, place):
+            wanted = np.zeros(len(group), dtype=bool)
+            for i, rest in _partners(group, rule):
+                wanted[i] = True
+                wanted[rest] = True
+            if wanted.any():
+                yield group[wanted]
+
+    def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for group in _groups(frames, place):
+            reps, component, shingles = (group[c].to_numpy() for c in ("rep", "component", "shingles"))
+            found: dict[tuple, tuple] = {}
+            for i, rest in _partners(group, rule):
+                for j in rest:
+                    between = (min(component[i], component[j]), max(component[i], component[j]))
+                    if between not in found and _is_link(shingles[i], shingles[j], rule.percent):
+                        found[between] = (min(reps[i], reps[j]), max(reps[i], reps[j]))
+            if found:
+                yield pd.DataFrame(list(found.values()), columns=["a", "b"])
 
     kind = near.schema["rep"].dataType.simpleString()
-    whole = rows.join(near.select("rep", "n_shingles", "tokens"), "rep")
-    columns = ["node", "pick", "large_picks", "rep", "component", "hub", "n_shingles", "tokens"]
-    whole = whole.select(*columns).repartition("node").sortWithinPartitions("node")
-    return whole.mapInPandas(compare, f"a {kind}, b {kind}, na long, nb long, hub {kind}")
+    columns = f"hub {kind}, low long, high long, side long, rep {kind}, component {kind}, n_shingles long, tokens array<int>"
+    sketched = placed.join(near.select("rep", "n_shingles", "tokens"), "rep").select(*place, "side", "rep", "component", "n_shingles", "tokens")
+    dealt = sketched.repartition(*place).sortWithinPartitions(*place)
+    candidates = materialize(dealt.mapInPandas(needed, columns), "candidates")
+    dealt = candidates.join(sets, "rep").repartition(*place).sortWithinPartitions(*place)
+    return dealt.mapInPandas(judge, f"a {kind}, b {kind}")
 
 
 def _starred(pairs: DataFrame, near: DataFrame, rule: Similarity) -> DataFrame:
@@ -267,12 +296,8 @@ def _verified(candidates: DataFrame, sets: DataFrame, rule: Similarity) -> DataF
             out = []
             pairs = group[~whole]
             for a, b in zip(pairs["a"], pairs["b"]):
-                for one in own[a]:
-                    for two in own[b]:
-                        spots = np.searchsorted(one, two)
-                        both = int((one[np.minimum(spots, len(one) - 1)] == two).sum())
-                        if 100 * both >= percent * (len(one) + len(two) - both):
-                            out.append((a, b))
+                if any(_is_link(one, two, percent) for one in own[a] for two in own[b]):
+                    out.append((a, b))
             if out:
                 yield pd.DataFrame(out, columns=["a", "b"])
 
@@ -291,13 +316,13 @@ def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
 
 def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFrame:
     """(rep, component) of every class that is linked with another; ``classes`` has rep, n_shingles and tokens."""
-    rows = _nodes(classes.select("rep", _root(rule)), "nodes")
+    rows = _nodes(classes.select("rep", _root(rule).alias("node")), "nodes")
     picks = rule.trees * ROOT_FAN
     # A linked class shares most selected tokens with its partner; one with few shared nodes has no partner.
     least = rule.least_equal(picks, 1e-7)
     reps = rows.groupBy("rep").count().where(F.col("count") >= least).select("rep")
     near = materialize(classes.join(reps, "rep"), "near")
-    rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "pick", "rep", "size")
+    rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "rep", "size")
     rows = materialize(_with_pivots(rows), "pivots")
     texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct(), "rep", "left_semi")
     rep_type = classes.schema["rep"].dataType.simpleString()
@@ -311,25 +336,25 @@ def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFr
     known = _joined(near.select("rep", F.col("rep").alias("component")).distinct(), links)
 
     for level in range(1, DEEPEST + 1):
-        rows = rows.select("node", "pick", "large_picks", "rep", "size", "pivots").join(known, "rep")
+        rows = rows.select("node", "rep", "size", "pivots").join(known, "rep")
         mixed = rows.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         open_rows = rows.join(mixed.select("node"), "node", "left_semi").withColumn("hub", F.col("pivots")[0])
         open_rows = materialize(open_rows, "open-nodes")
         if not open_rows.limit(1).count():
             break
         small = F.col("size") <= (SMALL if level < DEEPEST else (1 << 62))
-        candidates = _compared(open_rows.where(small), near, rule)
         large = open_rows.where(~small)
         heads = known.select(F.col("rep").alias("pivot"), F.col("component").alias("cp"))
         stars = large.select("rep", "component", "hub", F.explode("pivots").alias("pivot")).distinct()
         stars = stars.join(heads, "pivot").where("component <> cp").select("rep", "pivot", "hub")
-        links = _verified(candidates.unionByName(_starred(stars, near, rule)), sets, rule)
+        starred = _verified(_starred(stars, near, rule), sets, rule)
+        links = materialize(_exhaustive(open_rows.where(small), near, sets, rule).unionByName(starred).distinct(), "linked")
         if links.limit(1).count():
             known = _joined(known, links)
         if not large.limit(1).count():
             break
         deeper = large.select("node", "rep").join(near.select("rep", "tokens"), "rep")
-        rows = _nodes(deeper.select("rep", F.lit(-1).alias("pick"), _children(rule).alias("node")).distinct(), "nodes")
+        rows = _nodes(deeper.select("rep", _children(rule).alias("node")).distinct(), "nodes")
         rows = materialize(_with_pivots(rows), "pivots")
     return known
 
