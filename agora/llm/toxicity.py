@@ -290,15 +290,21 @@ def text_margin(text: str, model: ToxicityModel, known: dict[str, float]) -> flo
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> ToxicityModel:
-    """Fit on a bounded sample of labelled documents whose bucket of 4 is not 2; null texts and labels are left out."""
+    """Fit on a bounded sample of labelled documents whose bucket of 4 is not 2; null texts and labels are left out.
+
+    An id with several labels is toxic if one of them says so.
+    """
     known = labels.where("toxic is not null and doc_id is not null").where(bucket(F.col("doc_id"), 4) != 2)
     id_hash = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("toxicity")), F.lit(1 << 30))
-    known = known.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), id_hash.alias("id_hash"))
+    known = known.groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic"))
+    known = known.select("doc_id", "toxic", id_hash.alias("id_hash"))
     counts = {r["toxic"]: r["count"] for r in known.groupBy("toxic").count().collect()}
     rates = {k: int((1 << 30) * min(1.0, per_label / max(1, counts.get(k, 0)))) for k in (0, 1)}
     rate = F.when(F.col("toxic") == 1, rates[1]).otherwise(rates[0])
     picked = known.where(F.col("id_hash") < rate)
-    rows = docs.where("text is not null").select("doc_id", "text").join(picked, "doc_id").select("id_hash", "text", "toxic")
+    # Bounded: twice ``per_label`` ids in the mean, so the texts need not be shuffled.
+    rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    rows = rows.select("id_hash", "text", "toxic")
     rows = sorted((tuple(r) for r in rows.collect()))
     return fit([r[1] for r in rows], [r[2] for r in rows])
 
