@@ -42,7 +42,7 @@ ROOT_FAN = 2
 SMALL = 2048
 RANDOM_PIVOTS = 3
 FILTER_RISK = 1e-6
-BLOCK = 128  # classes on either side of a block of pairs
+BLOCK = 512  # classes on either side of a block of pairs
 DEEPEST = 40  # a node that is still large here is compared exhaustively; its size halves long before
 _RNG = np.random.Generator(np.random.PCG64(31337))
 _XOR = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64)
@@ -324,7 +324,8 @@ def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFr
     near = materialize(classes.join(reps, "rep"), "near")
     rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "rep", "size")
     rows = materialize(_with_pivots(rows), "pivots")
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct(), "rep", "left_semi")
+    # The classes grow with the corpus, so they are merged with the texts at any size, not broadcast while they are few.
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct().hint("merge"), "rep", "left_semi")
     rep_type = classes.schema["rep"].dataType.simpleString()
     sets = materialize(texts.select("rep", "text").mapInArrow(_full_sets, f"rep {rep_type}, shingles array<long>"), "sets")
 
