@@ -192,6 +192,22 @@ def test_probabilities_sum_to_one():
     assert math.isclose(total, 1.0, rel_tol=1e-3)
 
 
+def test_every_position_is_learned(spark):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choices([f"w{i}" for i in range(200)], k=rng.randint(1, 40))) for _ in range(30)]
+    frame = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    words = lm.vocabulary(lm.count_tokens(frame))
+    tables = lm.train(frame, words)
+    code = dict(zip(words.known, words.codes))
+    lines = [lm.tokens(t) for t in texts]
+    bounds = np.cumsum([0, *map(len, lines)])
+    line, places = lm._padded(np.array([code[w] for ws in lines for w in ws]), bounds)
+    for rows in lm.class_features(line, places):
+        assert np.abs(tables[0][rows]).sum(axis=1).all()
+    for rows in lm.slot_features(line, places, line[places] // lm.SLOTS):
+        assert np.abs(tables[1][rows]).sum(axis=1).all()
+
+
 def test_batches_do_not_change_lines():
     batch = pa.RecordBatch.from_arrays([pa.array(["a b", None, "c"])], names=["text"])
     lookup = lm._Lookup()
