@@ -8,7 +8,7 @@ from other words. A text scores as its most toxic word does, on a logistic scale
 
 Insults are learned: they are words that occur in many different sentences of texts labelled toxic and, relative to
 their number, hardly in those of other texts. Copies of a sentence count once. The sample of labelled rows is bounded:
-at most about ``PER_LABEL`` texts of each label. Scoring covers every word of every text.
+at most about ``PER_LABEL`` texts of each label, weighted back to their share of all labelled texts. Scoring covers every word of every text.
 """
 
 from __future__ import annotations
@@ -222,22 +222,23 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     return w
 
 
-def _logistic(margin: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
+def _logistic(margin: np.ndarray, toxic: np.ndarray, weight: np.ndarray) -> tuple[float, float]:
     """Slope and offset by damped Newton steps; the penalty keeps the slope from running away on separable texts."""
     x = np.column_stack([margin, np.ones(len(margin))])
     w = np.array([1.0, 0.0])
     for _ in range(100):
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (p - toxic) + RIDGE * w
-        hess = (x * (p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(2)
+        grad = x.T @ (weight * (p - toxic)) + RIDGE * w
+        hess = (x * (weight * p * (1 - p))[:, None]).T @ x + RIDGE * np.eye(2)
         step = np.linalg.solve(hess, grad)
         w = w - step * min(1.0, 2.0 / max(1e-9, np.abs(step).max()))
     return float(max(w[0], 0.0)), float(w[1])
 
 
-def fit(texts: list[str], toxic: list[int], seed: int = 0) -> ToxicityModel:
-    """Without a seed word every text scores the share of toxic ones."""
-    rate = (sum(toxic) + 0.5) / (len(toxic) + 1)
+def fit(texts: list[str], toxic: list[int], seed: int = 0, weights: list[float] | None = None) -> ToxicityModel:
+    """Without a seed word every text scores the share of toxic ones. A text's weight is how many rows it stands for."""
+    weight = np.ones(len(texts)) if weights is None else np.array(weights, dtype=float)
+    rate = (float(weight @ np.array(toxic, dtype=float)) + 0.5) / (float(weight.sum()) + 1)
     found = seeds(texts, toxic)
     flat = ToxicityModel(np.zeros(_TRIPLES), 0.0, 0.0, math.log(rate / (1 - rate)))
     clean: dict[str, int] = {}  # number of texts
@@ -276,7 +277,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 0) -> ToxicityModel:
             break
         negative = grown
     margins = np.array([text_margin(t, model, {}) for t in texts])
-    slope, offset = _logistic(margins, np.array(toxic, dtype=float))
+    slope, offset = _logistic(margins, np.array(toxic, dtype=float), weight)
     return ToxicityModel(model.weights, model.bias, slope, offset)
 
 
@@ -306,7 +307,8 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Tox
     rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
     rows = rows.select("id_hash", "text", "toxic")
     rows = sorted((tuple(r) for r in rows.collect()))
-    return fit([r[1] for r in rows], [r[2] for r in rows])
+    # The labels are sampled at different rates: each row counts for all that its rate stands for.
+    return fit([r[1] for r in rows], [r[2] for r in rows], weights=[(1 << 30) / max(1, rates[r[2]]) for r in rows])
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:
@@ -343,6 +345,8 @@ def document_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs``, with all columns, that score below the threshold."""
-    kept = score_texts(docs, learn(docs, labels)).where(F.col("score") < THRESHOLD)
+    """The rows of ``docs``, with all columns, that score below the threshold, and all null and empty texts."""
+    text = F.col("row").getField("text")
+    empty = text.isNull() | ~text.rlike(r"\S")
+    kept = score_texts(docs, learn(docs, labels)).where((F.col("score") < THRESHOLD) | empty)
     return kept.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

@@ -121,6 +121,29 @@ def test_toxicity_query(spark):
     assert toxicity.document_toxicity(docs.limit(0), labels.limit(0)).collect() == []
 
 
+def test_sampled_labels_keep_their_share(spark):
+    rng = random.Random(4)
+    names = ["".join(rng.choices("aeioulmnrst", k=rng.randint(3, 8))) for _ in range(400)]
+    rows = [(i, " ".join(rng.choices(names, k=20)), int(i % 11 == 0)) for i in range(1650)]
+
+    def predicted(rows, per_label):
+        docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        model = toxicity.learn(docs, docs.select("doc_id", "toxic"), per_label)
+        return [model.probability(toxicity.text_margin(t, model, {})) >= 0.3 for _, t, _ in rows]
+
+    # Half of the toxic texts hold an insult; nothing tells the other half from clean texts.
+    marked = [(i, f"{t} blockhead" if y and i % 2 else t, y) for i, t, y in rows]
+    for per_label in (5000, 50):
+        assert not any(predicted(rows, per_label))
+        assert predicted(marked, per_label) == ["blockhead" in t for _, t, _ in marked]
+
+
+def test_empty_texts_are_never_toxic(spark):
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", None, "", " \n", "c d"])], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (4, 1)], "doc_id long, toxic int")
+    assert {r.doc_id for r in toxicity.drop_toxic(docs, labels).collect()} == {1, 2, 3}
+
+
 def test_toxicity_on_held_out_rows(spark):
     folder = SMALL.replace("0.001", "0.01")
     labels = table(spark, folder, "labels")
