@@ -246,12 +246,13 @@ def search(
             out = []
             if len(frame):
                 first, second = quantiser.distances(_matrix(frame["query"]))
-                for query_id, query, a, b in zip(frame["query_id"], frame["query"], first, second):
-                    cells = visited(a, b, sizes, entries)
+                for query_id, query, own, a, b in zip(frame["query_id"], frame["query"], frame["own"], first, second):
+                    # The query's own rows are skipped: ``k`` others are read all the same.
+                    cells = visited(a, b, sizes, max(entries, k + own))
                     out += [(i, query_id, query, np.flatnonzero(cells[i])) for i in np.flatnonzero(cells.any(axis=1))]
             yield pd.DataFrame(out, columns=["first", "query_id", "query", "seconds"])
 
-    once = asked.select(F.col("key").alias("query_id"), F.col("vector").alias("query")).dropDuplicates(["query_id"])
+    once = asked.groupBy(F.col("key").alias("query_id")).agg(F.first("vector").alias("query"), F.count(F.lit(1)).alias("own"))
     walked = once.mapInPandas(walks, "first int, query_id long, query array<double>, seconds array<int>")
     query_blocks = math.ceil(n_asked / (QUERIES // 2))
     walked = walked.withColumn("query_block", F.pmod(F.xxhash64("query_id"), F.lit(query_blocks)).cast("int"))

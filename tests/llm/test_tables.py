@@ -221,6 +221,18 @@ def test_vectors_that_take_no_part_and_ties(spark):
     assert ann.neighbours(frame.where("vec_id = 0")).collect() == []
 
 
+def test_small_clusters_still_give_k_neighbours(spark):
+    rng = np.random.default_rng(1)
+    centres = rng.normal(size=(90, 16))
+    centres /= np.linalg.norm(centres, axis=1, keepdims=True)
+    points = np.repeat(centres, 20, axis=0) + rng.normal(size=(1800, 16)) * 1e-4
+    rows = [(i, points[i].tolist()) for i in range(1800)] + [(0, points[0].tolist())] * 15
+    found = defaultdict(int)
+    for r in ann.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect():
+        found[r.query_id] += 1
+    assert found == {i: 20 for i in range(0, 1800, 20)}
+
+
 def test_minimum_cut_is_minimal():
     rng = random.Random(2)
     for _ in range(60):
