@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import ann, decontaminate, html_text, langid, lm, minhash, mixing, pii, sharding, toxicity
+from agora.llm import ann, conversations, decontaminate, html_text, langid, lm, minhash, mixing, pii, sharding, toxicity
 from agora.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -52,6 +52,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.conversation_repairs(table(spark, sf_dir, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_near_duplicates": op1_near_duplicates,
     "op2_language_model": op2_language_model,
@@ -63,8 +67,10 @@ QUERIES: dict[str, Query] = {
     "op8_page_text": op8_page_text,
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
+    "op11_repair_conversations": op11_repair_conversations,
 }
 
 ORACLE: dict[str, str] = {
     "op10_decontaminate": decontaminate.ORACLE,
+    "op11_repair_conversations": conversations.ORACLE,
 }
