@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from agora.llm import ann, conversations, decontaminate, html_text, langid, licenses, lm, minhash, mixing, pii, sharding, toxicity
+from agora.llm import ann, conversations, decontaminate, html_text, langid, licenses, lm, minhash, mixing, negatives, pii, sharding, toxicity
 from agora.llm.text import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -56,6 +56,10 @@ def op11_repair_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversations.conversation_repairs(table(spark, sf_dir, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings"))
+
+
 def op13_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.document_licenses(table(spark, sf_dir, "documents"))
 
@@ -72,10 +76,12 @@ QUERIES: dict[str, Query] = {
     "op9_language": op9_language,
     "op10_decontaminate": op10_decontaminate,
     "op11_repair_conversations": op11_repair_conversations,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_licenses": op13_licenses,
 }
 
 ORACLE: dict[str, str] = {
     "op10_decontaminate": decontaminate.ORACLE,
     "op11_repair_conversations": conversations.ORACLE,
+    "op12_hard_negatives": negatives.ORACLE,
 }
