@@ -286,7 +286,7 @@ def test_pages_query(spark):
 
 
 def test_queries_and_sql_go_together():
-    assert set(ORACLE) <= set(QUERIES) and {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 11))
+    assert set(ORACLE) <= set(QUERIES) and {int(re.match(r"op(\d+)_", q)[1]) for q in QUERIES} == set(range(1, 14))
 
 
 def test_pipeline(spark):
