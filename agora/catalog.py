@@ -49,12 +49,12 @@ def edge_types(profile: str) -> list[tuple[str, str, str]]:
 
 
 ALL_TYPES = [t for types in NODE_TYPES.values() for t in types]
-_INDEX_BITS = 56
+INDEX_BITS = 56
 
 
 def typed_id(node_type: str, idx: str) -> Column:
     """Type and index of a node in one number, which joins and sorts faster than the pair."""
-    return F.lit(ALL_TYPES.index(node_type) << _INDEX_BITS).bitwiseOR(F.col(idx))
+    return F.lit(ALL_TYPES.index(node_type) << INDEX_BITS).bitwiseOR(F.col(idx))
 
 
 def node_id(node_type: str, idx: str) -> Column:
@@ -66,11 +66,11 @@ def node_id(node_type: str, idx: str) -> Column:
 
 
 def type_of(node: str) -> Column:
-    return F.get(F.array(*[F.lit(t) for t in ALL_TYPES]), F.shiftright(node, _INDEX_BITS).cast("int"))
+    return F.get(F.array(*[F.lit(t) for t in ALL_TYPES]), F.shiftright(node, INDEX_BITS).cast("int"))
 
 
 def index_of(node: str) -> Column:
-    return F.col(node).bitwiseAND(F.lit((1 << _INDEX_BITS) - 1))
+    return F.col(node).bitwiseAND(F.lit((1 << INDEX_BITS) - 1))
 
 
 @dataclass(frozen=True)

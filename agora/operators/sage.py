@@ -2,9 +2,10 @@
 
 A layer gives every node ``sum over incoming relations of
 W_neighbor * mean(neighbours) + bias + W_self * own``. Neighbour values are
-summed per relation while they are shuffled to their destination, so hubs are
-reduced before the shuffle, and the linear maps run once per node afterwards
-as one matrix product for each Arrow batch.
+vectors: they are summed per relation as vectors before the shuffle to their
+destination and again behind it, so a hub is a few rows for each task and the
+plan does not depend on the width. The linear maps run in the task that adds up
+a node's sums, as one matrix product for each Arrow batch.
 """
 
 from __future__ import annotations
@@ -17,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.catalog import Profile, index_of, node_id, type_of, typed_id
+from agora.catalog import ALL_TYPES, INDEX_BITS, Profile, node_id, typed_id
 from agora.functions.scoring import cross_entropy, graph_class, positive_probability
 from agora.operators.graph_build import Graph
 from agora.operators.skew import heavy_keys, salted_join
@@ -65,19 +66,12 @@ def _stacked(params: Parameters, layer: str, relations: Sequence[str], slots: in
     return np.hstack([*blocks, own]), bias
 
 
-def gather_means(
-    features: DataFrame,
-    nodes: DataFrame,
-    edges: DataFrame,
-    profile: Profile,
-    incoming: dict[str, list[str]],
-    width: int,
-    hot: list,
+def _messages(
+    features: DataFrame, nodes: DataFrame, edges: DataFrame, profile: Profile, incoming: dict[str, list[str]], hot: list
 ) -> DataFrame:
-    """(node_type, idx, m): neighbour means of every incoming relation, then own values, in one array.
+    """(_dst, slot, x): the values that reach each wanted node, by relation; own values come in the last slot.
 
-    ``incoming`` lists the relations of each wanted destination type and
-    ``nodes`` the destinations. Means of absent neighbours are 0.
+    ``incoming`` lists the relations of each wanted destination type and ``nodes`` the destinations.
     """
     slots = max(len(r) for r in incoming.values())
     # One branch per relation, with constant types. A node's own values travel as one
@@ -96,44 +90,93 @@ def gather_means(
     own = nodes.where(F.col("node_type").isin(list(incoming)))
     branches.append(own.select(node.alias("_dst"), F.lit(slots).alias("slot"), node.alias("_src")))
     pairs = reduce(DataFrame.unionAll, branches)
-    sources = features.select(node.alias("_src"), *[F.get("x", F.lit(i)).alias(f"x{i}") for i in range(width)])
-    messages = salted_join(pairs, sources, "_src", "inner", hot)
-    sums = []
-    for s in range(slots + 1):
-        here = F.col("slot") == s
-        sums.append(F.count_if(here).alias(f"n{s}"))
-        sums += [F.sum(F.when(here, F.col(f"x{i}"))).alias(f"s{s}_{i}") for i in range(width)]
-    gathered = messages.groupBy("_dst").agg(*sums)
-    means = [
-        F.when(F.col(f"n{s}") > 0, F.col(f"s{s}_{i}") / F.col(f"n{s}")).otherwise(0.0)
-        for s in range(slots + 1)
-        for i in range(width)
-    ]
-    return gathered.select(type_of("_dst").alias("node_type"), index_of("_dst").alias("idx"), F.array(*means).alias("m"))
-
-
-def _apply(means: DataFrame, maps: dict[str, tuple[np.ndarray, np.ndarray]], head=None) -> DataFrame:
-    """ReLU of the linear map of each node type and, if given, the output layer after it."""
+    return salted_join(pairs, features.select(node.alias("_src"), "x"), "_src", "inner", hot).select("_dst", "slot", "x")
 
-    def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+SUMS = "_dst bigint, slot int, n bigint, x array<double>"
+
+
+def _vectors(lists: pa.ListArray, width: int) -> np.ndarray:
+    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
+
+
+def _summed(dst: np.ndarray, slot: np.ndarray, n: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
+    """One row for each (dst, slot), in that order: counts and vectors added up."""
+    order = np.lexsort((slot, dst))
+    dst, slot = dst[order], slot[order]
+    starts = np.flatnonzero(np.r_[True, (dst[1:] != dst[:-1]) | (slot[1:] != slot[:-1])])
+    return dst[starts], slot[starts], np.add.reduceat(n[order], starts), np.add.reduceat(x[order], starts, axis=0)
+
+
+def partial_sums(messages: DataFrame, width: int) -> DataFrame:
+    """Counts and vector sums by (_dst, slot) within each Arrow batch, so that little is left to shuffle.
+
+    A hub keeps one row for each batch. What is carried along is one vector, whatever its width.
+    """
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.num_rows
-            values = batch.column("m").flatten().to_numpy().reshape(rows, -1) if rows else np.zeros((0, 1))
-            types = np.asarray(batch.column("node_type").to_pylist(), dtype=object)
-            size = len(head[1]) if head is not None else len(next(iter(maps.values()))[1])
-            out = np.zeros((rows, size))
-            for node_type, (weight, bias) in maps.items():
-                chosen = types == node_type
-                if chosen.any():
-                    hidden = np.maximum(values[chosen] @ weight.T + bias, 0.0)
-                    out[chosen] = hidden if head is None else hidden @ head[0].T + head[1]
-            offsets = pa.array(np.arange(rows + 1, dtype=np.int32) * size)
-            lists = pa.ListArray.from_arrays(offsets, pa.array(out.ravel()))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node_type"), batch.column("idx"), lists], names=["node_type", "idx", "x"]
-            )
+            if batch.num_rows:
+                one = np.ones(batch.num_rows, dtype=np.int64)
+                dst, slot = batch.column("_dst").to_numpy(), batch.column("slot").to_numpy()
+                yield _sums_batch(*_summed(dst, slot, one, _vectors(batch.column("x"), width)))
+
+    return messages.mapInArrow(add, SUMS)
+
+
+def _lists(values: np.ndarray) -> pa.ListArray:
+    offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1])
+    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
+
 
-    return means.mapInArrow(transform, "node_type string, idx bigint, x array<double>")
+def _sums_batch(dst: np.ndarray, slot: np.ndarray, n: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array(dst), pa.array(slot.astype(np.int32)), pa.array(n), _lists(x)]
+    return pa.RecordBatch.from_arrays(columns, names=["_dst", "slot", "n", "x"])
+
+
+def _apply(sums: DataFrame, maps: dict[str, tuple[np.ndarray, np.ndarray]], slots: int, width: int, head=None) -> DataFrame:
+    """Means of the slots of each node, the linear map of its type, ReLU and, if given, the output layer after it.
+
+    The rows of a node come one after the other. Of the last node of a batch only
+    the sums are kept, one row for each slot, until its next rows or the end.
+    """
+    size = len(head[1]) if head is not None else len(next(iter(maps.values()))[1])
+    by_number = {ALL_TYPES.index(t): m for t, m in maps.items()}
+
+    def outputs(dst: np.ndarray, slot: np.ndarray, n: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
+        starts = np.flatnonzero(np.r_[True, dst[1:] != dst[:-1]])
+        means = np.zeros((len(starts), slots + 1, width))
+        means[np.repeat(np.arange(len(starts)), np.diff(np.r_[starts, len(dst)])), slot] = x / n[:, None]
+        nodes = dst[starts]
+        values, out = means.reshape(len(nodes), -1), np.zeros((len(nodes), size))
+        kinds = nodes >> INDEX_BITS
+        for number, (weight, bias) in by_number.items():
+            chosen = kinds == number
+            if chosen.any():
+                hidden = np.maximum(values[chosen] @ weight.T + bias, 0.0)
+                out[chosen] = hidden if head is None else hidden @ head[0].T + head[1]
+        names = np.array(ALL_TYPES, dtype=object)[kinds]
+        columns = [pa.array(names, pa.string()), pa.array(nodes & ((1 << INDEX_BITS) - 1)), _lists(out)]
+        return pa.RecordBatch.from_arrays(columns, names=["node_type", "idx", "x"])
+
+    def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            rows = (*[batch.column(c).to_numpy() for c in ("_dst", "slot", "n")], _vectors(batch.column("x"), width))
+            if kept is not None:
+                rows = tuple(np.concatenate(pair) for pair in zip(kept, rows))
+            rows = _summed(*rows)
+            cut = int(np.searchsorted(rows[0], rows[0][-1]))
+            kept = tuple(r[cut:] for r in rows)
+            if cut:
+                yield outputs(*[r[:cut] for r in rows])
+        if kept is not None:
+            yield outputs(*kept)
+
+    ordered = sums.repartition("_dst").sortWithinPartitions("_dst")
+    return ordered.mapInArrow(transform, "node_type string, idx bigint, x array<double>")
 
 
 def sage_layer(
@@ -151,7 +194,8 @@ def sage_layer(
     slots = max(len(r) for r in incoming.values())
     width = params[f"{layer}/{next(iter(incoming.values()))[0]}/neighbor"].shape[1]
     maps = {t: _stacked(params, layer, relations, slots) for t, relations in incoming.items()}
-    return _apply(gather_means(features, nodes, edges, profile, incoming, width, hot), maps, head)
+    sums = partial_sums(_messages(features, nodes, edges, profile, incoming, hot), width)
+    return _apply(sums, maps, slots, width, head)
 
 
 def forward(graph: Graph, params: Parameters, split: str | None = None) -> DataFrame:

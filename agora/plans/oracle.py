@@ -434,23 +434,30 @@ oracle(
 
 
 def _hop(frontier: str, hop: int, k: int) -> str:
-    return f"""select f.batch_id, {hop} hop, src_type, relation, dst_type, src, dst
-               from {frontier} f join ranked r on r.dst_type = f.node_type and r.dst = f.idx where r.rank <= {k}"""
+    """Floyd's draws of ``k`` places below the degree, then the edges at these places."""
+    place = "md5(concat_ws('|', '42', f.batch_id, d.relation, d.dst, j))"
+    return f"""select a.batch_id, {hop} hop, e.src_type, e.relation, e.dst_type, e.src, e.dst
+               from (select f.batch_id, d.dst_type, d.relation, d.dst, unnest(list_reduce(
+                            list_prepend([]::bigint[], list_transform(range(greatest(d.degree - {k}, 0), d.degree),
+                                lambda j: [j, ('0x' || {place}[1:15])::bigint % (j + 1)])),
+                            lambda taken, x: list_append(taken, case when list_contains(taken, x[2]) then x[1] else x[2] end)
+                        )) place
+                     from {frontier} f join degrees d on d.dst_type = f.node_type and d.dst = f.idx) a
+               join placed e on e.dst_type = a.dst_type and e.relation = a.relation and e.dst = a.dst and e.place = a.place"""
 
 
 view(
-    "ranked",
-    """select *, row_number() over (partition by dst_type, relation, dst
-                                    order by md5(concat_ws('|', '42', relation, src, dst)), src) as rank
-       from qa_prepared""",
+    "placed",
+    """select *, row_number() over (partition by dst_type, relation, dst order by src) - 1 place from qa_prepared""",
     "qa_prepared",
 )
+view("degrees", "select dst_type, relation, dst, count(*) degree from qa_prepared group by all", "qa_prepared")
 view(
     "hop_seeds",
     """select cast(idx % 4 as int) batch_id, node_type, idx from qa_nodes where node_type = 'user' and y = 1""",
     "qa_nodes",
 )
-view("hop_one", _hop("hop_seeds", 1, 3), "ranked", "hop_seeds")
+view("hop_one", _hop("hop_seeds", 1, 3), "placed", "degrees", "hop_seeds")
 view(
     "hop_new",
     """select distinct batch_id, src_type node_type, src idx from hop_one
