@@ -9,11 +9,13 @@ from pyspark.sql import functions as F
 
 from agora.catalog import SELF_LOOP, Profile, index_of, node_id, reverse_name, type_of
 from agora.operators.graph_build import Graph
+from agora.operators.ordering import index_rows
 from agora.operators.sampling import node_split
 from agora.operators.skew import heavy_keys, salted_join
 from agora.session import materialize
 
 EDGE_KEYS = ["src_type", "relation", "dst_type"]
+WORDS = 16  # 64-bit words of a block of seeds: 1024 seeds
 
 
 def relations_of(edges: DataFrame) -> list[tuple[str, str, str]]:
@@ -122,47 +124,110 @@ def induced_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _with_ends(edges: DataFrame) -> DataFrame:
+    if "_src" in edges.columns:  # a stored graph has them
+        return edges
     return edges.select("*", node_id("src_type", "src").alias("_src"), node_id("dst_type", "dst").alias("_dst"))
 
 
-def _walk(ends: DataFrame, seeds: DataFrame, radius: int, hot: list) -> DataFrame:
-    reached = materialize(
-        seeds.select("seed_id", node_id("node_type", "idx").alias("_node"), F.lit(0).alias("hops")).distinct(), "ego"
-    )
-    frontier = reached
+# Seeds are numbered, and seed n is bit n % 64 of word n // 64 % WORDS of block n // (64 * WORDS). A node that many seeds
+# reach is one row for each block of seeds, and rows of one node merge by OR before and behind the shuffle.
+
+
+def _word(k: int) -> str:
+    return f"_w{k}"
+
+
+def _marked(seeds: DataFrame, words: int) -> DataFrame:
+    """(_node, _block, words) of numbered seeds."""
+    bit = F.expr("shiftleft(1L, cast(_seed % 64 as int))")
+    place = F.expr(f"_seed div 64 % {words}")
+    marks = [F.bit_or(F.when(place == k, bit).otherwise(F.lit(0).cast("bigint"))).alias(_word(k)) for k in range(words)]
+    block = F.expr(f"_seed div {64 * words}").alias("_block")
+    return seeds.groupBy("_node", block).agg(*marks)
+
+
+def _unmarked(marked: DataFrame, words: int, *columns: str) -> DataFrame:
+    """One row for each set bit: the columns and the seed's number."""
+    word = F.array(*[F.col(_word(k)) for k in range(words)])
+    bits = F.filter(F.sequence(F.lit(0), F.lit(63)), lambda b: F.getbit(F.col("_bits"), b) == 1)
+    spread = marked.select("*", F.posexplode(word).alias("_k", "_bits")).where("_bits <> 0").withColumn("_bit", F.explode(bits))
+    number = F.expr(f"_block * {64 * words} + _k * 64 + _bit").alias("_seed")
+    return spread.select(*columns, number)
+
+
+def _search(ends: DataFrame, seeds: DataFrame, radius: int, words: int, hot: list) -> DataFrame:
+    """(_node, _block, hops, words): the seeds that reach each node first in that many hops.
+
+    A round merges what the last round's nodes hand on with what is known, in
+    one aggregation; its rows are bounded by the nodes for each block of seeds,
+    however many seeds there are. Every round is written to shared storage.
+    """
+    names = [_word(k) for k in range(words)]
+    found = materialize(_marked(seeds, words).withColumn("hops", F.lit(0)), "ego")
+    frontier = found
+    out = ends.select("_src", "_dst")
     for hop in range(1, radius + 1):
-        step = frontier.select("seed_id", F.col("_node").alias("_src"))
-        found = (
-            salted_join(ends, step, "_src", "inner", hot)
-            .select("seed_id", F.col("_dst").alias("_node"))
-            .distinct()
-            .join(reached, ["seed_id", "_node"], "left_anti")
-        )
-        frontier = materialize(found.withColumn("hops", F.lit(hop)), "ego")
-        reached = reached.unionByName(frontier)
-    return reached
+        step = frontier.select(F.col("_node").alias("_src"), "_block", *names)
+        handed = salted_join(out, step, "_src", "inner", hot).select(F.col("_dst").alias("_node"), "_block", *names, F.lit(True).alias("_new"))
+        both = handed.unionByName(found.select("_node", "_block", *names, F.lit(False).alias("_new")))
+        nothing = F.lit(0).cast("bigint")
+        sums = [F.bit_or(F.when(F.col("_new"), F.col(w)).otherwise(nothing)).alias(w) for w in names]
+        sums += [F.bit_or(F.when(F.col("_new"), nothing).otherwise(F.col(w))).alias(f"_old{w}") for w in names]
+        merged = both.groupBy("_node", "_block").agg(*sums)
+        fresh = [F.col(w).bitwiseAND(F.bitwise_not(F.col(f"_old{w}"))).alias(w) for w in names]
+        new = merged.select("_node", "_block", *fresh).where(reduce(lambda a, b: a | b, [F.col(w) != 0 for w in names]))
+        frontier = materialize(new.withColumn("hops", F.lit(hop)), "ego")
+        found = found.unionByName(frontier)
+    return found
+
+
+def _numbered(seeds: DataFrame) -> tuple[DataFrame, DataFrame, int]:
+    """Seeds as (_seed, _node), their names (_seed, seed_id), and the words that a block needs."""
+    given = materialize(seeds.select("seed_id", node_id("node_type", "idx").alias("_node")).distinct(), "seeds")
+    indexed = index_rows(given.select("seed_id").distinct(), ["seed_id"], name="_seed")
+    names = indexed.frame
+    words = max(1, min(WORDS, -(-indexed.total // 64)))
+    return given.join(names, "seed_id").select("_seed", "_node"), names, words
+
+
+def _named(found: DataFrame, names: DataFrame, *columns) -> DataFrame:
+    # A seed may reach a large part of the graph.
+    return salted_join(found, names, "_seed").select("seed_id", *columns)
 
 
 def ego_nodes(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> DataFrame:
     """Nodes within ``radius`` outgoing hops of each seed, with their distance.
 
-    ``seeds`` has seed_id, node_type, idx. Every round is written to shared
-    storage, so the plan stays short, and a small frontier has a known size
-    from which Spark chooses a broadcast by itself.
+    ``seeds`` has seed_id, node_type, idx. All seeds are searched at once: what
+    travels is a node with the bits of its seeds, not a row for each seed.
     """
     ends = _with_ends(edges)
-    reached = _walk(ends, seeds, radius, heavy_keys(ends, ["_src"])["_src"])
-    return reached.select("seed_id", type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
+    numbered, names, words = _numbered(seeds)
+    found = _search(ends, numbered, radius, words, heavy_keys(ends, ["_src"])["_src"])
+    return _ego_nodes(found, names, words)
+
+
+def _ego_nodes(found: DataFrame, names: DataFrame, words: int) -> DataFrame:
+    spread = _unmarked(found, words, "_node", "hops")
+    return _named(spread, names, type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
 
 
 def ego_graph(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> tuple[DataFrame, DataFrame]:
-    """Ego nodes and, for each seed, the edges among them including parallel ones."""
+    """Ego nodes and, for each seed, the edges among them including parallel ones.
+
+    An edge belongs to the seeds whose bits both of its ends have.
+    """
     ends = _with_ends(edges)
     hot = heavy_keys(ends, ["_src", "_dst"])
-    reached = _walk(ends, seeds, radius, hot["_src"])
-    sources = reached.select("seed_id", F.col("_node").alias("_src"))
-    targets = reached.select("seed_id", F.col("_node").alias("_dst"))
+    numbered, names, words = _numbered(seeds)
+    found = _search(ends, numbered, radius, words, hot["_src"])
+    columns = [_word(k) for k in range(words)]
+    reached = materialize(found.groupBy("_node", "_block").agg(*[F.bit_or(w).alias(w) for w in columns]), "ego")
+    sources = reached.withColumnRenamed("_node", "_src")
+    targets = reached.select(F.col("_node").alias("_dst"), "_block", *[F.col(w).alias(f"_to{w}") for w in columns])
     inside = salted_join(ends, sources, "_src", "inner", hot["_src"])
-    inside = salted_join(inside, targets, ["seed_id", "_dst"], "left_semi", hot["_dst"], "_dst")
-    nodes = reached.select("seed_id", type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
-    return nodes, inside.select("seed_id", *EDGE_KEYS, "src", "dst")
+    inside = salted_join(inside, targets, ["_block", "_dst"], "inner", hot["_dst"], "_dst")
+    shared = [F.col(w).bitwiseAND(F.col(f"_to{w}")).alias(w) for w in columns]
+    edge = [*EDGE_KEYS, "src", "dst"]
+    marked = inside.select(*edge, "_block", *shared)
+    return _ego_nodes(found, names, words), _named(_unmarked(marked, words, *edge), names, *edge)
