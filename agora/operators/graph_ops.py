@@ -11,7 +11,7 @@ from agora.catalog import SELF_LOOP, Profile, index_of, node_id, reverse_name, t
 from agora.operators.graph_build import Graph
 from agora.operators.ordering import index_rows
 from agora.operators.sampling import node_split
-from agora.operators.skew import heavy_keys, salted_join
+from agora.operators.skew import Bucketed, bucketed_join, heavy_keys, salted_join
 from agora.session import materialize
 
 EDGE_KEYS = ["src_type", "relation", "dst_type"]
@@ -124,8 +124,6 @@ def induced_edges(edges: DataFrame, members: DataFrame) -> DataFrame:
 
 
 def _with_ends(edges: DataFrame) -> DataFrame:
-    if "_src" in edges.columns:  # a stored graph has them
-        return edges
     return edges.select("*", node_id("src_type", "src").alias("_src"), node_id("dst_type", "dst").alias("_dst"))
 
 
@@ -155,7 +153,7 @@ def _unmarked(marked: DataFrame, words: int, *columns: str) -> DataFrame:
     return spread.select(*columns, number)
 
 
-def _search(ends: DataFrame, seeds: DataFrame, radius: int, words: int, hot: list) -> DataFrame:
+def _search(ends: DataFrame | Bucketed, seeds: DataFrame, radius: int, words: int, hot: list) -> DataFrame:
     """(_node, _block, hops, words): the seeds that reach each node first in that many hops.
 
     A round merges what the last round's nodes hand on with what is known, in
@@ -165,10 +163,10 @@ def _search(ends: DataFrame, seeds: DataFrame, radius: int, words: int, hot: lis
     names = [_word(k) for k in range(words)]
     found = materialize(_marked(seeds, words).withColumn("hops", F.lit(0)), "ego")
     frontier = found
-    out = ends.select("_src", "_dst")
     for hop in range(1, radius + 1):
         step = frontier.select(F.col("_node").alias("_src"), "_block", *names)
-        handed = salted_join(out, step, "_src", "inner", hot).select(F.col("_dst").alias("_node"), "_block", *names, F.lit(True).alias("_new"))
+        handed = _along(ends, step, ["_src", "_dst"], hot)
+        handed = handed.select(F.col("_dst").alias("_node"), "_block", *names, F.lit(True).alias("_new"))
         both = handed.unionByName(found.select("_node", "_block", *names, F.lit(False).alias("_new")))
         nothing = F.lit(0).cast("bigint")
         sums = [F.bit_or(F.when(F.col("_new"), F.col(w)).otherwise(nothing)).alias(w) for w in names]
@@ -181,6 +179,13 @@ def _search(ends: DataFrame, seeds: DataFrame, radius: int, words: int, hot: lis
     return found
 
 
+def _along(ends: DataFrame | Bucketed, step: DataFrame, columns: list[str], hot: list) -> DataFrame:
+    """Edges that leave the nodes of ``step`` (by _src)."""
+    if isinstance(ends, Bucketed):
+        return bucketed_join(ends, step, columns)
+    return salted_join(ends.select(*columns), step, "_src", "inner", hot)
+
+
 def _numbered(seeds: DataFrame) -> tuple[DataFrame, DataFrame, int]:
     """Seeds as (_seed, _node), their names (_seed, seed_id), and the words that a block needs."""
     given = materialize(seeds.select("seed_id", node_id("node_type", "idx").alias("_node")).distinct(), "seeds")
@@ -195,14 +200,17 @@ def _named(found: DataFrame, names: DataFrame, *columns) -> DataFrame:
     return salted_join(found, names, "_seed").select("seed_id", *columns)
 
 
-def ego_nodes(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> DataFrame:
+def ego_nodes(edges: DataFrame | Bucketed, seeds: DataFrame, radius: int = 2) -> DataFrame:
     """Nodes within ``radius`` outgoing hops of each seed, with their distance.
 
     ``seeds`` has seed_id, node_type, idx. All seeds are searched at once: what
-    travels is a node with the bits of its seeds, not a row for each seed.
+    travels is a node with the bits of its seeds, not a row for each seed. The
+    stored out-edges of a graph stay where they are.
     """
-    ends = _with_ends(edges)
     numbered, names, words = _numbered(seeds)
+    if isinstance(edges, Bucketed):
+        return _ego_nodes(_search(edges, numbered, radius, words, edges.hot), names, words)
+    ends = _with_ends(edges)
     found = _search(ends, numbered, radius, words, heavy_keys(ends, ["_src"])["_src"])
     return _ego_nodes(found, names, words)
 
@@ -212,22 +220,22 @@ def _ego_nodes(found: DataFrame, names: DataFrame, words: int) -> DataFrame:
     return _named(spread, names, type_of("_node").alias("node_type"), index_of("_node").alias("idx"), "hops")
 
 
-def ego_graph(edges: DataFrame, seeds: DataFrame, radius: int = 2) -> tuple[DataFrame, DataFrame]:
+def ego_graph(edges: DataFrame | Bucketed, seeds: DataFrame, radius: int = 2) -> tuple[DataFrame, DataFrame]:
     """Ego nodes and, for each seed, the edges among them including parallel ones.
 
     An edge belongs to the seeds whose bits both of its ends have.
     """
-    ends = _with_ends(edges)
-    hot = heavy_keys(ends, ["_src", "_dst"])
+    ends = edges if isinstance(edges, Bucketed) else _with_ends(edges)
+    hot = heavy_keys(edges.frame if isinstance(edges, Bucketed) else ends, ["_src", "_dst"])
     numbered, names, words = _numbered(seeds)
     found = _search(ends, numbered, radius, words, hot["_src"])
     columns = [_word(k) for k in range(words)]
     reached = materialize(found.groupBy("_node", "_block").agg(*[F.bit_or(w).alias(w) for w in columns]), "ego")
     sources = reached.withColumnRenamed("_node", "_src")
     targets = reached.select(F.col("_node").alias("_dst"), "_block", *[F.col(w).alias(f"_to{w}") for w in columns])
-    inside = salted_join(ends, sources, "_src", "inner", hot["_src"])
+    edge = [*EDGE_KEYS, "src", "dst"]
+    inside = _along(ends, sources, [*edge, "_src", "_dst"], hot["_src"])
     inside = salted_join(inside, targets, ["_block", "_dst"], "inner", hot["_dst"], "_dst")
     shared = [F.col(w).bitwiseAND(F.col(f"_to{w}")).alias(w) for w in columns]
-    edge = [*EDGE_KEYS, "src", "dst"]
     marked = inside.select(*edge, "_block", *shared)
     return _ego_nodes(found, names, words), _named(_unmarked(marked, words, *edge), names, *edge)

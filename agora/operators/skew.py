@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -69,3 +70,27 @@ def salted_join(
     copies = F.when(heavy, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
     right = dim.where(~missing).withColumn(_SALT, F.explode(copies))
     return left.join(right, [*keys, _SALT], how).drop(_SALT)
+
+
+@dataclass(frozen=True)
+class Bucketed:
+    """A stored table whose files are bucketed and sorted by ``key``, so that joins on it need not move its rows."""
+
+    frame: DataFrame
+    key: str
+    buckets: int
+    hot: list  # heavy values of the key
+
+
+def bucketed_join(facts: Bucketed, dim: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Inner equi-join of some columns of a bucketed table with ``dim``, which alone is shuffled, to the table's buckets.
+
+    The rows of heavy keys would make a bucket long; only these are spread as
+    in ``salted_join``.
+    """
+    rows = facts.frame.select(*columns)
+    heavy = F.col(facts.key).isin(facts.hot) if facts.hot else F.lit(False)
+    met = rows.where(~heavy).join(dim.where(~heavy).repartition(facts.buckets, facts.key), facts.key)
+    if not facts.hot:
+        return met
+    return met.unionByName(salted_join(rows.where(heavy), dim.where(heavy), facts.key, "inner", facts.hot))

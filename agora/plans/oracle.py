@@ -265,6 +265,7 @@ QUESTION_PAGES = """
     from qa_questions"""
 oracle("flatten_question_pages", QUESTION_PAGES, "qa_questions")
 oracle("stream_question_pages", QUESTION_PAGES, "qa_questions")
+oracle("stream_feed_pages", QUESTION_PAGES, "qa_questions")
 oracle(
     "flatten_answer_pages",
     """select answer_id, question_id, case when score > -20 then user_id end user_id,
@@ -515,6 +516,29 @@ oracle(
     "egos", "qa_edges",
 )
 
+
+
+def _two_hops(edges: str, seeds: str) -> str:
+    """Nodes within two hops of the seeds, with their least distance."""
+
+    def step(hop: int, reached: str) -> str:
+        return f"""select r.seed_id, e.dst_type node_type, e.dst idx, {hop} hops from ({reached}) r
+                   join {edges} e on e.src_type = r.node_type and e.src = r.idx"""
+
+    one = step(1, seeds)
+    two = step(2, f"select distinct seed_id, node_type, idx from ({one})")
+    return f"""select seed_id, node_type, idx, cast(min(hops) as int) hops
+               from ({seeds} union all {one} union all {two}) group by all"""
+
+
+USERS = "select idx seed_id, node_type, idx, 0 hops from qa_nodes where node_type = 'user'"
+oracle(
+    "ego_sizes_of_all_users",
+    f"select seed_id, hops, count(*) nodes from ({_two_hops('qa_edges', USERS)}) group by all",
+    "qa_nodes", "qa_edges",
+)
+oracle("stored_graph_hop", _two_hops("qa_prepared", USERS + " and idx % 10 = 7"), "qa_nodes", "qa_prepared")
+
 # Models --------------------------------------------------------------------
 
 oracle(
@@ -572,6 +596,55 @@ def _head() -> str:
 
 
 view("sage_logits", _head(), "layer_two")
+
+# The model at width 64. Its weights follow their formula here too, so each layer is a few sums over lists.
+WIDE = 64
+NUMBER = {name: n for n, name in enumerate(closed_form_weights(PROFILE, WIDE))}
+
+
+def _entry(name: str, k: str) -> str:
+    return f"((({7 * NUMBER[name]} + 3 * ({k})) % 11 - 4) / 10)"
+
+
+def _wide_output(layer: str, relations: list[str], width: int) -> str:
+    """ReLU of output o: over m<s>, the list of means of relation s, and own, the node's values."""
+    terms = []
+    for s, r in enumerate(relations):
+        terms.append(_entry(f"{layer}/{r}/bias", "o"))
+        for part, values in (("neighbor", f"m{s}"), ("self", "own")):
+            weights = f"list_transform(range({width}), lambda i: {_entry(f'{layer}/{r}/{part}', f'o * {width} + i')}::double)"
+            terms.append(f"list_dot_product({weights}, {values})")
+    return f"greatest({' + '.join(terms)}, 0)"
+
+
+def _wide_means(relations: list[str], width: int, values: str, node_type: str) -> str:
+    """Nodes of a type with own and, for each relation, the list of means, zeros without neighbours."""
+    sums = f"""select e.dst idx, e.relation, f.i, avg(f.v) m from qa_prepared e join {values} f on f.node_type = e.src_type and f.idx = e.src
+               where e.dst_type = '{node_type}' group by all"""
+    lists = f"select idx, relation, list(m order by i) m from ({sums}) group by all"
+    joins = " ".join(f"left join lists l{s} on l{s}.idx = n.idx and l{s}.relation = '{r}'" for s, r in enumerate(relations))
+    columns = ", ".join(f"coalesce(l{s}.m, list_transform(range({width}), lambda i: 0::double)) m{s}" for s in range(len(relations)))
+    return f"""with lists as materialized ({lists})
+               select n.node_type, n.idx, n.own, {columns} from (
+                   select node_type, idx, list(v order by i) own from {values} where node_type = '{node_type}' group by all) n {joins}"""
+
+
+def _wide_layer(layer: str, values: str, node_type: str, width: int) -> str:
+    relations = PROFILE.incoming(node_type)
+    return f"""select node_type, idx, o i, {_wide_output(layer, relations, width)} v
+               from ({_wide_means(relations, width, values, node_type)}), (select unnest(range({WIDE})) o)"""
+
+
+view("wide_input", "select node_type, idx, 0::bigint i, x0::double v from layer_input", "layer_input")
+view("wide_one", " union all ".join(_wide_layer("conv1", "wide_input", t, 1) for t in PROFILE.node_types), "wide_input", "qa_prepared")
+view("wide_two", _wide_layer("conv2", "wide_one", "user", WIDE), "wide_one", "qa_prepared")
+oracle(
+    "sage_forward_wide",
+    "select idx, " + ", ".join(
+        f"round(sum({_entry('head/weight', f'{o} * {WIDE} + i')} * v) + {_entry('head/bias', str(o))}, 4) z{o}" for o in range(2)
+    ) + " from wide_two group by idx",
+    "wide_two",
+)
 oracle("sage_forward", "select idx, round(z0, 6) z0, round(z1, 6) z1 from sage_logits", "sage_logits")
 oracle(
     "sage_test_predictions",

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from agora.plans import fixtures, runs
 from agora.plans.closed_form import closed_form_weights
 from agora.session import materialize, scratch_path
 from agora.sources import artifacts, assets, graph_store, pages, tables
-from agora.streaming.ingest import ingest_pages_stream
+from agora.streaming.ingest import ingest_feeds_stream, ingest_pages_stream, read_feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -106,7 +107,7 @@ def _user_pages(spark, d) -> str:
     return _landed_pages(spark, fixtures.qa_users(spark, d).select("user_id", item.alias("item")), 100, "user_id")
 
 
-def _question_pages(spark, d) -> str:
+def _question_items(spark, d) -> DataFrame:
     owner = F.struct(
         "user_id",
         F.concat(F.lit("name "), F.col("user_id").cast("string")).alias("display_name"),
@@ -119,8 +120,11 @@ def _question_pages(spark, d) -> str:
         "accepted_answer_id",
         F.when(F.col("question_id") % 5 != 0, owner).alias("owner"),
     )
-    rows = fixtures.qa_questions(spark, d).select("question_id", item.alias("item"))
-    return _landed_pages(spark, rows, 100, "question_id")
+    return fixtures.qa_questions(spark, d).select("question_id", item.alias("item"))
+
+
+def _question_pages(spark, d) -> str:
+    return _landed_pages(spark, _question_items(spark, d), 100, "question_id")
 
 
 def _answer_pages(spark, d) -> str:
@@ -156,6 +160,35 @@ def stream_question_pages(spark, d):
     return spark.read.parquet(out).withColumn("tags", F.array_join("tags", ","))
 
 
+def _land_feeds(spark, items: DataFrame, key: str, path: str) -> DataFrame:
+    """Pages of three feeds with numbers and an end marker on each feed's last page."""
+    feed = F.concat(F.lit("feed "), (F.col(key) % 3).cast("string")).alias("feed")
+    numbered = ordering.dense_index(items.select(feed, key, "item"), ["feed", key], spread_ties=True)
+    starts = numbered.groupBy("feed").agg(F.min("idx").alias("start"), F.max("idx").alias("last"))
+    # One row for each of the three feeds.
+    page = F.expr("(idx - start) div 100").alias("page")
+    placed = numbered.join(F.broadcast(starts), "feed").select("feed", page, F.expr("(last - start) div 100").alias("last_page"), "item")
+    paged = placed.groupBy("feed", "page", "last_page").agg(F.collect_list("item").alias("items"))
+    return materialize(paged.select("feed", "page", "items", (F.col("page") < F.col("last_page")).alias("has_more")), "feed-pages")
+
+
+@query
+def stream_feed_pages(spark, d):
+    """Feeds that land out of order, in part twice, and with pages behind their end, taken in by two runs of the stream."""
+    landing, out, offsets = (scratch_path(spark, x) for x in ("landing", "feeds", "offsets"))
+    paged = _land_feeds(spark, _question_items(spark, d), "question_id", landing)
+    document = F.to_json(F.struct("feed", "page", "items", "has_more")).alias("value")
+    # First the odd pages and each third one; then all of them, and old items on pages behind the ends.
+    paged.where("page % 2 = 1 or page % 3 = 0").select(document).write.text(f"{landing}/first")
+    ingest_feeds_stream(spark, f"{landing}/*", out, offsets, "questions").awaitTermination()
+    paged.select(document).write.text(f"{landing}/second")
+    changed = F.transform("items", lambda i: i.withField("score", F.lit(-1.0)))
+    beyond = paged.withColumn("page", F.col("page") + 1_000_000).withColumn("items", changed).withColumn("has_more", F.lit(True))
+    beyond.select(document).write.text(f"{landing}/third")
+    ingest_feeds_stream(spark, f"{landing}/*", out, offsets, "questions").awaitTermination()
+    return read_feeds(spark, out, "questions").withColumn("tags", F.array_join("tags", ","))
+
+
 @query
 def discover_table_files(spark, d):
     return assets.asset_targets(assets.discover_assets(spark, d, ".parquet")).select("name", "copies")
@@ -542,6 +575,29 @@ def ego_graph_edges(spark, d):
     return _egos(spark, d)[1]
 
 
+@query
+def ego_sizes_of_all_users(spark, d):
+    """Every user is a seed: how many nodes lie at each distance, up to two hops."""
+    graph = qa_graph_of(spark, d)
+    users = graph.nodes.where(F.col("node_type") == "user").select(F.col("idx").alias("seed_id"), "node_type", "idx")
+    return graph_ops.ego_nodes(graph.edges, users, 2).groupBy("seed_id", "hops").agg(F.count(F.lit(1)).alias("nodes"))
+
+
+def _stored(spark, d) -> graph_store.StoredGraph:
+    path = scratch_path(spark, "stored")
+    name = "graph_" + path[-32:]
+    graph_store.write_bucketed(graph_ops.prepare(qa_graph_of(spark, d)), path, name, 8)
+    return graph_store.open_bucketed(spark, path, name, QA)
+
+
+@query
+def stored_graph_hop(spark, d):
+    """Two hops from every tenth user over the bucketed out-edges of a stored graph with reverses and loops."""
+    stored = _stored(spark, d)
+    users = stored.nodes.frame.where("node_type = 'user' and idx % 10 = 7")
+    return graph_ops.ego_nodes(stored.out_edges, users.select(F.col("idx").alias("seed_id"), "node_type", "idx"), 2)
+
+
 # Models --------------------------------------------------------------------
 
 
@@ -609,6 +665,13 @@ def sage_test_predictions(spark, d):
     return scored.select("key", F.round("prob", 6).alias("prob"), "pred", "label", F.round("loss", 6).alias("loss"))
 
 
+@query
+def sage_forward_wide(spark, d):
+    """The same at the largest width of the parameter sets, 64."""
+    logits = sage.forward(_scaled(_prepared(spark, d)), closed_form_weights(Profile(QA), 64))
+    return logits.select("idx", F.round("z0", 4).alias("z0"), F.round("z1", 4).alias("z1"))
+
+
 TINY = GraphSet(hidden=4, learning_rate=0.01, weight_decay=1e-4, epochs=2, batch_size=16, fanouts=(5, 5))
 
 
@@ -617,6 +680,14 @@ def sage_training_metrics(spark, d):
     return sage_train.train_sage(_scaled(_prepared(spark, d)), TINY, batches_per_step=4).metrics
 
 
+@query
+def sage_resumed_training(spark, d):
+    """Training that stops after the first epoch and is taken up from its stored state."""
+    graph, path = _scaled(_prepared(spark, d)), scratch_path(spark, "training")
+    sage_train.train_sage(graph, replace(TINY, epochs=1), batches_per_step=4, state_path=path)
+    return sage_train.train_sage(graph, TINY, batches_per_step=4, state_path=path).metrics
+
+
 @query
 def sage_sampled_predictions(spark, d):
     graph = _scaled(_prepared(spark, d))

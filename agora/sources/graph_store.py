@@ -1,14 +1,16 @@
-"""Graphs as Parquet, partitioned so that readers touch only the types they need."""
+"""Graphs as Parquet: partitioned so that readers touch only the types they need, or bucketed so that joins need no shuffle."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agora.catalog import Profile
+from agora.catalog import Profile, node_id
 from agora.operators.graph_build import EDGE_SCHEMA, NODE_SCHEMA, Graph
+from agora.operators.skew import Bucketed, heavy_keys
 
 
 def write_graph(graph: Graph, path: str) -> None:
@@ -31,3 +33,56 @@ def read_graph(
     nodes = spark.read.schema(NODE_SCHEMA).parquet(f"{path}/nodes")
     edges = spark.read.schema(EDGE_SCHEMA).parquet(f"{path}/edges")
     return Graph(Profile(profile), _pruned(nodes, "node_type", node_types), _pruned(edges, "relation", relations))
+
+
+@dataclass(frozen=True)
+class StoredGraph:
+    """A graph whose tables are bucketed: nodes by ``_node``, edges once by ``_src`` and once by ``_dst``."""
+
+    profile: Profile
+    nodes: Bucketed
+    out_edges: Bucketed
+    in_edges: Bucketed
+
+
+_KEYS = {"nodes": "_node", "out_edges": "_src", "in_edges": "_dst"}
+
+
+def _table(name: str, part: str) -> str:
+    return f"{name}_{part}"
+
+
+def write_bucketed(graph: Graph, path: str, name: str, buckets: int = 64) -> None:
+    """Store a graph below ``path`` as tables ``name``_nodes, _out_edges and _in_edges, bucketed and sorted by their keys.
+
+    Every edge is stored twice, by either end. A bucket is written by one task
+    into one file; choose as many as leave a bucket of the edges in memory.
+    """
+    spark = graph.nodes.sparkSession
+    edges = graph.edges.select("*", node_id("src_type", "src").alias("_src"), node_id("dst_type", "dst").alias("_dst"))
+    frames = {"nodes": graph.nodes.withColumn("_node", node_id("node_type", "idx")), "out_edges": edges, "in_edges": edges}
+    for part, key in _KEYS.items():
+        writer = frames[part].repartition(buckets, key).write.format("parquet").mode("overwrite").option("path", f"{path}/{part}")
+        writer.bucketBy(buckets, key).sortBy(key).saveAsTable(_table(name, part))
+    # Values that are heavy as an end of edges are known once the edges are stored.
+    stored = spark.read.parquet(f"{path}/out_edges")
+    hot = heavy_keys(stored, ["_src", "_dst"])
+    layout = spark.createDataFrame([(buckets, hot["_src"], hot["_dst"])], "buckets int, src array<bigint>, dst array<bigint>")
+    layout.coalesce(1).write.parquet(f"{path}/layout", mode="overwrite")
+
+
+def open_bucketed(spark: SparkSession, path: str, name: str, profile: str) -> StoredGraph:
+    """A graph stored by ``write_bucketed``; a session that doesn't know its tables registers them."""
+    layout = spark.read.parquet(f"{path}/layout").first()
+    heavy = {"nodes": [], "out_edges": layout["src"], "in_edges": layout["dst"]}
+    found = {}
+    for part, key in _KEYS.items():
+        table = _table(name, part)
+        if not spark.catalog.tableExists(table):
+            columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in spark.read.parquet(f"{path}/{part}").schema.fields)
+            spark.sql(
+                f"create table {table} ({columns}) using parquet "
+                f"clustered by ({key}) sorted by ({key}) into {layout['buckets']} buckets location '{path}/{part}'"
+            )
+        found[part] = Bucketed(spark.table(table), key, layout["buckets"], list(heavy[part]))
+    return StoredGraph(Profile(profile), **found)

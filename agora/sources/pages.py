@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,7 +20,12 @@ ITEMS = {
 def page_schema(kind: str) -> T.StructType:
     item = T.StructType.fromDDL(ITEMS[kind])
     return T.StructType(
-        [T.StructField("items", T.ArrayType(item)), T.StructField("has_more", T.BooleanType())]
+        [
+            T.StructField("items", T.ArrayType(item)),
+            T.StructField("has_more", T.BooleanType()),
+            T.StructField("feed", T.StringType()),
+            T.StructField("page", T.LongType()),
+        ]
     )
 
 
@@ -26,8 +33,8 @@ def read_pages(spark: SparkSession, path: str, kind: str, multi_line: bool = Fal
     return spark.read.schema(page_schema(kind)).json(path, multiLine=multi_line)
 
 
-def _items(pages: DataFrame) -> DataFrame:
-    return pages.select(F.inline("items"))
+def _items(pages: DataFrame, keep: Sequence[str]) -> DataFrame:
+    return pages.select(*keep, F.inline("items"))
 
 
 def _owner_columns() -> list[Column]:
@@ -40,22 +47,23 @@ def _owner_columns() -> list[Column]:
     ]
 
 
-def flatten_users(pages: DataFrame) -> DataFrame:
+def flatten_users(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     badges = [
         F.coalesce(f"badge_counts.{metal}", F.lit(0)).alias(f"{metal}_badges") for metal in ("gold", "silver", "bronze")
     ]
-    return _items(pages).select("user_id", "display_name", "reputation", *badges)
+    return _items(pages, keep).select(*keep, "user_id", "display_name", "reputation", *badges)
 
 
-def flatten_questions(pages: DataFrame) -> DataFrame:
+def flatten_questions(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     user_id, display_name, reputation = _owner_columns()
-    return _items(pages).select(
-        "question_id", "tags", "score", user_id, reputation, display_name, "accepted_answer_id"
+    return _items(pages, keep).select(
+        *keep, "question_id", "tags", "score", user_id, reputation, display_name, "accepted_answer_id"
     )
 
 
-def flatten_answers(pages: DataFrame) -> DataFrame:
-    return _items(pages).select("answer_id", "question_id", *_owner_columns(), "is_accepted", "score")
+def flatten_answers(pages: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return _items(pages, keep).select(*keep, "answer_id", "question_id", *_owner_columns(), "is_accepted", "score")
 
 
 FLATTEN = {"users": flatten_users, "questions": flatten_questions, "answers": flatten_answers}
+KEYS = {"users": "user_id", "questions": "question_id", "answers": "answer_id"}
