@@ -1,8 +1,13 @@
+import hashlib
+import random
+from collections import Counter
+
 import pytest
 from pyspark.sql import functions as F
 
 from agora.catalog import FORUM, QA, Profile, edge_types, index_of, node_id, type_of
 from agora.operators import graph_build, graph_ops, neighbors
+from agora.operators.skew import bucketed_join, salted_join
 from agora.sources import graph_store
 from tests.conftest import rows
 
@@ -189,3 +194,118 @@ def test_multigraph_view_and_degrees(qa):
     degrees = {r.relation: (r.edges, r.sources, r.max_out_degree, r.destinations, r.max_in_degree) for r in graph_ops.degree_summary(qa.edges).collect()}
     assert degrees["asks"] == (2, 1, 2, 2, 1)
     assert degrees["has"] == (3, 2, 2, 2, 2)
+
+
+def draws_by_hand(seed, k, degree, *keys):
+    """Floyd's method with the md5 of seed, keys and j."""
+    taken = []
+    for j in range(max(degree - k, 0), degree):
+        digest = hashlib.md5("|".join(map(str, (seed, *keys, j))).encode()).hexdigest()
+        t = int(digest[:15], 16) % (j + 1)
+        taken.append(j if t in taken else t)
+    return taken
+
+
+def star(spark, leaves):
+    return spark.range(leaves).select(
+        F.lit("user").alias("src_type"), F.lit("asks").alias("relation"), F.lit("question").alias("dst_type"),
+        F.col("id").alias("src"), F.lit(0).cast("bigint").alias("dst"),
+    )
+
+
+def test_batches_draw_for_themselves_and_uniformly(spark):
+    batches = 3000
+    seeds = spark.range(batches).select(F.col("id").cast("int").alias("batch_id"), F.lit("question").alias("node_type"), F.lit(0).cast("bigint").alias("idx"))
+    index = neighbors.adjacency(star(spark, 10))
+    _, taken = neighbors.neighbor_sample(index, seeds, (3,), 5)
+    found = {}
+    for r in taken.collect():
+        found.setdefault(r.batch_id, []).append(r.src)
+    assert all(len(set(f)) == 3 for f in found.values()) and len(found) == batches
+    assert all(sorted(found[b]) == sorted(draws_by_hand(5, 3, 10, b, "asks", 0)) for b in range(batches))
+    sets = Counter(frozenset(f) for f in found.values())
+    # 120 sets of 3, 25 times each on average; the statistic's mean is 119, its deviation 15.4.
+    assert len(sets) == 120 and sum((n - 25) ** 2 / 25 for n in sets.values()) < 119 + 5 * 15.4
+    again = neighbors.neighbor_sample(index, seeds, (3,), 6)[1]
+    assert rows(again, "batch_id", "src") != rows(taken, "batch_id", "src")
+
+
+def test_a_draw_reads_few_blocks_of_a_hub(spark):
+    hub = star(spark, 50 * neighbors.BLOCK)
+    seeds = spark.createDataFrame([(0, "question", 0)], "batch_id int, node_type string, idx bigint")
+    index = neighbors.adjacency(hub.unionByName(hub.where("src = 7")))  # with a parallel edge
+    assert index.blocks.count() == 51 and index.degrees.first().degree == 50 * neighbors.BLOCK + 1
+    _, taken = neighbors.neighbor_sample(index, seeds, (4,), 1)
+    want = [p if p <= 7 else p - 1 for p in draws_by_hand(1, 4, 50 * neighbors.BLOCK + 1, 0, "asks", 0)]
+    assert sorted(r.src for r in taken.collect()) == sorted(want)
+    for path in ("_dst", "number"):
+        assert path not in index.blocks.columns
+
+
+def test_ego_graphs_of_many_seeds(spark):
+    """2,500 seeds, three blocks of bits, on a random graph with a hub; two nodes for some seeds."""
+    rng = random.Random(9)
+    pairs = [(rng.randrange(400), rng.randrange(400)) for _ in range(500)] + [(399, k) for k in range(0, 400, 3)] + [(5, 399)] * 2
+    edges = spark.createDataFrame([("user", "asks", "user", s, d) for s, d in pairs], EDGES)
+    starts = {7 * k - 3: [k % 400] + ([(k * 7) % 400] if k % 5 == 0 else []) for k in range(2500)}
+    seeds = spark.createDataFrame([(i, "user", n) for i, own in starts.items() for n in own], "seed_id bigint, node_type string, idx bigint")
+    after = {}
+    for s, d in pairs:
+        after.setdefault(s, set()).add(d)
+    want = set()
+    for i, own in starts.items():
+        reached = dict.fromkeys(own, 0)
+        frontier = set(own)
+        for hop in (1, 2):
+            frontier = {d for s in frontier for d in after.get(s, ())} - reached.keys()
+            reached |= dict.fromkeys(frontier, hop)
+        want |= {(i, "user", n, h) for n, h in reached.items()}
+    nodes, inside = graph_ops.ego_graph(edges, seeds, 2)
+    assert {tuple(r) for r in nodes.collect()} == want
+    members = {}
+    for i, _, n, _ in want:
+        members.setdefault(n, set()).add(i)
+    counts = Counter((s, d) for s, d in pairs for _ in members.get(s, set()) & members.get(d, set()))
+    assert Counter({(r.src, r.dst): r["count"] for r in inside.groupBy("src", "dst").count().collect()}) == counts
+    # What a round stores is bounded by the nodes for each block of 1,024 seeds.
+    numbered, _, words = graph_ops._numbered(seeds)
+    stored = graph_ops._search(graph_ops._with_ends(edges), numbered, 2, words, [])
+    assert words == graph_ops.WORDS and stored.where("hops = 2").count() <= 3 * 400
+
+
+def test_stored_graph_joins_without_moving_edges(spark, qa, tmp_path):
+    path = str(tmp_path / "stored")
+    graph_store.write_bucketed(qa, path, "stored_test", 4)
+    seeds = qa.nodes.where("node_type = 'user'").select(F.col("idx").alias("seed_id"), "node_type", "idx")
+    want_nodes, want_edges = (rows(f) for f in graph_ops.ego_graph(qa.edges, seeds, 2))
+    stored = graph_store.open_bucketed(spark, path, "stored_test", QA)
+    # A session that doesn't know the tables registers them from the files.
+    other = graph_store.open_bucketed(spark.newSession(), path, "stored_again", QA)
+    assert rows(other.out_edges.frame, "relation", "src", "dst") == rows(qa.edges, "relation", "src", "dst")
+    for graph in (stored, other):
+        assert rows(graph_ops.ego_nodes(graph.out_edges, seeds, 2)) == want_nodes
+    assert rows(graph_ops.ego_graph(stored.out_edges, seeds, 2)[1]) == want_edges
+    for edges, key in ((stored.out_edges, "_src"), (stored.in_edges, "_dst")):
+        step = seeds.select(node_id("node_type", "idx").alias(key), "seed_id")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+        try:
+            hop = bucketed_join(edges, step, ["src", "dst", key])
+            plan = hop._jdf.queryExecution().executedPlan().toString()
+        finally:
+            spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        # The one exchange is that of the step.
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+        assert rows(hop, "seed_id", "src", "dst") == rows(salted_join(edges.frame, step, key), "seed_id", "src", "dst")
+
+
+def test_heavy_buckets_are_spread(spark, tmp_path):
+    pairs = [("user", "asks", "question", 0, k) for k in range(20_000)] + [("user", "asks", "question", k, k) for k in range(1, 300)]
+    edges = spark.createDataFrame(pairs, EDGES)
+    nodes = spark.createDataFrame([("user", "0", 0, [1.0], 1, None)], graph_build.NODE_SCHEMA)
+    graph_store.write_bucketed(graph_build.Graph(Profile(QA), nodes, edges), str(tmp_path / "hub"), "hub_test", 4)
+    stored = graph_store.open_bucketed(spark, str(tmp_path / "hub"), "hub_test", QA)
+    hub = stored.out_edges.frame.where("src = 0").first()["_src"]
+    assert stored.out_edges.hot == [hub] and stored.in_edges.hot == []
+    step = spark.createDataFrame([(hub, 1), (hub + 5, 2)], "_src bigint, seed_id int")
+    met = bucketed_join(stored.out_edges, step, ["_src", "dst"])
+    assert {(r.seed_id, r["count"]) for r in met.groupBy("seed_id").count().collect()} == {(1, 20_000), (2, 1)}

@@ -1,3 +1,5 @@
+from dataclasses import replace
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -57,6 +59,40 @@ def test_distributed_forward_equals_the_kernel(small):
     assert all(np.allclose((r.z0, r.z1), want[r.idx]) for r in split)
 
 
+@pytest.mark.parametrize("rows", [7, 10_000])
+def test_wide_layer_equals_the_kernel(spark, small, rows):
+    """Width 64 with nodes whose rows lie in many Arrow batches."""
+    params = sage.init_parameters(sage.parameter_shapes(PROFILE, 1, 64, 2), 8)
+    want, _ = sage_kernel.logits(params, PROFILE, whole_subgraph(small))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+    try:
+        found = {r.idx: (r.z0, r.z1) for r in sage.forward(small, params).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(found) == 60 and all(np.allclose(z, want[idx], atol=1e-9) for idx, z in found.items())
+
+
+def test_plan_does_not_grow_with_the_width(small):
+    def plan(hidden):
+        logits = sage.forward(small, sage.init_parameters(sage.parameter_shapes(PROFILE, 1, hidden, 2), 8))
+        return logits._jdf.queryExecution().executedPlan().toString()
+
+    for word in ("partial_", "Exchange", "MapInArrow", "x["):
+        assert plan(2).count(word) == plan(64).count(word)
+    assert "partial_sum" not in plan(64)
+
+
+def test_vector_sums():
+    rng = np.random.default_rng(2)
+    dst, slot, n, x = rng.integers(0, 5, 90), rng.integers(0, 3, 90), rng.integers(1, 4, 90), rng.normal(size=(90, 6))
+    keys = sorted({(d, s) for d, s in zip(dst, slot)})
+    found = sage._summed(dst, slot, n, x)
+    assert list(zip(found[0], found[1])) == keys
+    for (d, s), count, total in zip(keys, *found[2:]):
+        own = (dst == d) & (slot == s)
+        assert count == n[own].sum() and np.allclose(total, x[own].sum(axis=0))
+
+
 def test_sampled_inference_with_large_fanout_equals_the_full_one(small):
     params = sage.init_parameters(sage.parameter_shapes(PROFILE, 1, 3, 2), 4)
     settings = GraphSet(hidden=3, learning_rate=0.01, weight_decay=0.0, batch_size=4, fanouts=(500, 500))
@@ -98,6 +134,55 @@ def test_training_lowers_the_loss_and_artifacts_reload(spark, small, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/train_metrics").count() == 5
 
 
+def test_training_goes_on_where_it_stopped(spark, small, tmp_path):
+    settings = GraphSet(hidden=4, learning_rate=0.05, weight_decay=1e-4, epochs=3, batch_size=8, fanouts=(3, 3))
+    whole = sage_train.train_sage(small, settings, batches_per_step=2)
+    path = str(tmp_path / "state")
+    sage_train.train_sage(small, replace(settings, epochs=1), batches_per_step=2, state_path=path)
+    # A write that a lost driver left without its marker doesn't count.
+    torn = tmp_path / "state" / "epoch-000002"
+    torn.mkdir()
+    (torn / "part-00000.parquet").write_bytes(b"half")
+    resumed = sage_train.train_sage(small, settings, batches_per_step=2, state_path=path)
+    assert all(np.array_equal(resumed.parameters[n], w) for n, w in whole.parameters.items())
+    assert resumed.metrics.collect() == whole.metrics.collect()
+    # The state of an earlier epoch is still there, and nothing is trained to load it.
+    first = sage_train.train_sage(small, replace(settings, epochs=1), batches_per_step=2, state_path=path)
+    assert [r.epoch for r in first.metrics.collect()] == [1]
+    assert not np.array_equal(first.parameters["head/weight"], whole.parameters["head/weight"])
+    for other in (replace(settings, hidden=5), replace(settings, learning_rate=0.1)):
+        with pytest.raises(ValueError, match="other settings"):
+            sage_train.train_sage(small, other, batches_per_step=2, state_path=path)
+
+
+def test_one_sequential_step_by_hand(small):
+    """All train users of both classes in one batch with all neighbours: gradient by differences, then Adam's formula."""
+    settings = GraphSet(hidden=3, learning_rate=0.03, weight_decay=0.02, epochs=1, batch_size=30, fanouts=(500, 500))
+    trained = sage_train.train_sage(small, settings, seed=7, batches_per_step=1)
+    shapes = sage.parameter_shapes(PROFILE, 1, 3, 2)
+    start = sage.init_parameters(shapes, 7)
+    users = small.nodes.where("node_type = 'user' and split = 'train'").select("node_type", "idx", "y")
+    seeds = [r.idx for r in sage_train.stratified_batches(users, "idx", "y", 30, 7).where("batch_id = 0").collect()]
+    sub = whole_subgraph(small)
+
+    def loss(params):
+        z, _ = sage_kernel.logits(params, PROFILE, sub)
+        return np.mean([np.log(np.exp(z[i]).sum()) - z[i][sub.y[i]] for i in seeds])
+
+    assert trained.metrics.first().loss == pytest.approx(loss(start))
+    for name in shapes:
+        flat = start[name].ravel()
+        for k in range(0, flat.size, 5):
+            sides = []
+            for move in (1e-6, -1e-6):
+                moved = {n: v.copy() for n, v in start.items()}
+                moved[name].ravel()[k] += move
+                sides.append(loss(moved))
+            gradient = (sides[0] - sides[1]) / 2e-6 + settings.weight_decay * flat[k]
+            if abs(gradient) > 1e-4:  # the first step of Adam is the rate, in the direction of the gradient
+                assert trained.parameters[name].ravel()[k] == pytest.approx(flat[k] - 0.03 * np.sign(gradient), abs=1e-5)
+
+
 def test_training_rejects_bad_input(small):
     with pytest.raises(ValueError):
         sage_train.train_sage(small, GRAPH_SETS[0], loss_scope="everything")
