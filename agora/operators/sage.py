@@ -22,6 +22,7 @@ from agora.catalog import ALL_TYPES, INDEX_BITS, Profile, node_id, typed_id
 from agora.functions.scoring import cross_entropy, graph_class, positive_probability
 from agora.operators.graph_build import Graph
 from agora.operators.skew import heavy_keys, salted_join
+from agora.operators.vectors import by_key, lists_of, partial_sums, whole_sums
 
 Parameters = dict[str, np.ndarray]
 
@@ -93,53 +94,8 @@ def _messages(
     return salted_join(pairs, features.select(node.alias("_src"), "x"), "_src", "inner", hot).select("_dst", "slot", "x")
 
 
-SUMS = "_dst bigint, slot int, n bigint, x array<double>"
-
-
-def _vectors(lists: pa.ListArray, width: int) -> np.ndarray:
-    return lists.flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-
-
-def _summed(dst: np.ndarray, slot: np.ndarray, n: np.ndarray, x: np.ndarray) -> tuple[np.ndarray, ...]:
-    """One row for each (dst, slot), in that order: counts and vectors added up."""
-    order = np.lexsort((slot, dst))
-    dst, slot = dst[order], slot[order]
-    starts = np.flatnonzero(np.r_[True, (dst[1:] != dst[:-1]) | (slot[1:] != slot[:-1])])
-    return dst[starts], slot[starts], np.add.reduceat(n[order], starts), np.add.reduceat(x[order], starts, axis=0)
-
-
-def partial_sums(messages: DataFrame, width: int) -> DataFrame:
-    """Counts and vector sums by (_dst, slot) within each Arrow batch, so that little is left to shuffle.
-
-    A hub keeps one row for each batch. What is carried along is one vector, whatever its width.
-    """
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                one = np.ones(batch.num_rows, dtype=np.int64)
-                dst, slot = batch.column("_dst").to_numpy(), batch.column("slot").to_numpy()
-                yield _sums_batch(*_summed(dst, slot, one, _vectors(batch.column("x"), width)))
-
-    return messages.mapInArrow(add, SUMS)
-
-
-def _lists(values: np.ndarray) -> pa.ListArray:
-    offsets = pa.array(np.arange(len(values) + 1, dtype=np.int32) * values.shape[1])
-    return pa.ListArray.from_arrays(offsets, pa.array(values.ravel()))
-
-
-def _sums_batch(dst: np.ndarray, slot: np.ndarray, n: np.ndarray, x: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array(dst), pa.array(slot.astype(np.int32)), pa.array(n), _lists(x)]
-    return pa.RecordBatch.from_arrays(columns, names=["_dst", "slot", "n", "x"])
-
-
 def _apply(sums: DataFrame, maps: dict[str, tuple[np.ndarray, np.ndarray]], slots: int, width: int, head=None) -> DataFrame:
-    """Means of the slots of each node, the linear map of its type, ReLU and, if given, the output layer after it.
-
-    The rows of a node come one after the other. Of the last node of a batch only
-    the sums are kept, one row for each slot, until its next rows or the end.
-    """
+    """Means of the slots of each node, the linear map of its type, ReLU and, if given, the output layer after it."""
     size = len(head[1]) if head is not None else len(next(iter(maps.values()))[1])
     by_number = {ALL_TYPES.index(t): m for t, m in maps.items()}
 
@@ -156,27 +112,14 @@ def _apply(sums: DataFrame, maps: dict[str, tuple[np.ndarray, np.ndarray]], slot
                 hidden = np.maximum(values[chosen] @ weight.T + bias, 0.0)
                 out[chosen] = hidden if head is None else hidden @ head[0].T + head[1]
         names = np.array(ALL_TYPES, dtype=object)[kinds]
-        columns = [pa.array(names, pa.string()), pa.array(nodes & ((1 << INDEX_BITS) - 1)), _lists(out)]
+        columns = [pa.array(names, pa.string()), pa.array(nodes & ((1 << INDEX_BITS) - 1)), lists_of(out)]
         return pa.RecordBatch.from_arrays(columns, names=["node_type", "idx", "x"])
 
     def transform(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            rows = (*[batch.column(c).to_numpy() for c in ("_dst", "slot", "n")], _vectors(batch.column("x"), width))
-            if kept is not None:
-                rows = tuple(np.concatenate(pair) for pair in zip(kept, rows))
-            rows = _summed(*rows)
-            cut = int(np.searchsorted(rows[0], rows[0][-1]))
-            kept = tuple(r[cut:] for r in rows)
-            if cut:
-                yield outputs(*[r[:cut] for r in rows])
-        if kept is not None:
-            yield outputs(*kept)
-
-    ordered = sums.repartition("_dst").sortWithinPartitions("_dst")
-    return ordered.mapInArrow(transform, "node_type string, idx bigint, x array<double>")
+        for rows in whole_sums(batches, width):
+            yield outputs(*rows)
+
+    return by_key(sums).mapInArrow(transform, "node_type string, idx bigint, x array<double>")
 
 
 def sage_layer(

@@ -247,6 +247,13 @@ oracle(
               gold_badges, silver_badges, bronze_badges from qa_users""",
     "qa_users",
 )
+oracle(
+    "csv_inferred_types",
+    """select user_id, display_name, case when user_id % 10 not in (0, 1) then reputation end reputation,
+              gold_badges, silver_badges, bronze_badges, case when user_id % 4 <> 0 then gold_badges / 2 end half,
+              user_id % 2 = 0 even, 'say "' || user_id || '", twice' quoted from qa_users""",
+    "qa_users",
+)
 oracle("table_round_trip", "select * from qa_feature_rows", "qa_feature_rows")
 oracle(
     "flatten_user_pages",
@@ -372,6 +379,12 @@ oracle("qa_feature_table", "select * from qa_feature_rows", "qa_feature_rows")
 oracle("influence_quantile", "select count(score) users, round(quantile_cont(score, 0.9), 6) threshold from scored", "scored")
 
 CORRELATED = ["reputation", "gold_badges", "silver_badges", "bronze_badges"]
+view(
+    "wide_values",
+    """select user_id, 'c' || i i_name, cast(user_id * (i + 3) % 101 + gold_badges * (i % 5) as double) v
+       from qa_users, (select unnest(range(40)) i) where (user_id + i) % 7 <> 0""",
+    "qa_users",
+)
 oracle(
     "correlation_matrix",
     "select * from ("
@@ -385,6 +398,14 @@ oracle(
     "qa_users",
 )
 
+oracle(
+    "wide_correlation",
+    """select a.i_name a, b.i_name b, round(corr(a.v, b.v), 6) corr from wide_values a join wide_values b using (user_id)
+       group by all""",
+    "wide_values",
+)
+oracle("sketched_threshold", "select count(*) n, true close_by from qa_users", "qa_users")
+
 # Samples and sets ----------------------------------------------------------
 
 oracle(

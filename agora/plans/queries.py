@@ -12,7 +12,7 @@ from agora.catalog import FORUM, QA, Profile
 from agora.config import GraphSet
 from agora.functions import cleaning, scoring
 from agora.operators import evaluation, features, graph_build, graph_ops, labels, neighbors, ordering, sage, sampling
-from agora.operators import sage_train, trees
+from agora.operators import sage_train, sketches, trees
 from agora.operators.graph_build import Graph
 from agora.operators.quantile import exact_quantile
 from agora.plans import fixtures, runs
@@ -81,6 +81,19 @@ def csv_scan_users(spark, d):
     return tables.read_table(spark, path, columns, multi_line=False)
 
 
+@query
+def csv_inferred_types(spark, d):
+    """Users with a boolean, a decimal, and missing-value spellings, written as CSV and read without a schema."""
+    users = fixtures.qa_users(spark, d)
+    token = F.when(F.col("user_id") % 10 == 0, "NA").when(F.col("user_id") % 10 == 1, "None")
+    users = users.withColumn("reputation", F.coalesce(token, F.col("reputation").cast("string")))
+    half = F.when(F.col("user_id") % 4 != 0, F.col("gold_badges") / 2).alias("half")
+    text = users.select("*", half, (F.col("user_id") % 2 == 0).alias("even"), F.concat(F.lit('say "'), "user_id", F.lit('", twice')).alias("quoted"))
+    path = scratch_path(spark, "users-csv")
+    tables.write_table(text, path, "csv")
+    return tables.read_table(spark, path)
+
+
 @query
 def table_round_trip(spark, d):
     """Feature table written as Parquet by the sink and read back."""
@@ -420,6 +433,33 @@ def influence_quantile(spark, d):
     )
 
 
+@query
+def sketched_threshold(spark, d):
+    """Sketches of ten ingests, merged: whether the threshold lies within one percent of its rank, and the label's share."""
+    users, path = scored_users(spark, d), scratch_path(spark, "sketches")
+    for part in range(10):
+        sketches.add_sketch(users.where(F.col("user_id") % 10 == part), "score", path, part)
+    stored = sketches.stored_sketches(spark, path)
+    labelled = sketches.label_influential_sketched(fixtures.qa_users(spark, d), stored)
+    share = F.avg("influential")
+    return labelled.agg(F.count(F.lit(1)).alias("n"), (F.abs(share - 0.1) <= 0.01).alias("close_by"))
+
+
+WIDE_COLUMNS = 40
+
+
+@query
+def wide_correlation(spark, d):
+    """Forty columns with missing values from one pass of masked matrices."""
+    users = fixtures.qa_users(spark, d)
+    columns = []
+    for i in range(WIDE_COLUMNS):
+        value = (F.col("user_id") * (i + 3)) % 101 + F.col("gold_badges") * (i % 5)
+        columns.append(F.when((F.col("user_id") + i) % 7 != 0, value).cast("double").alias(f"c{i}"))
+    found = features.correlation_matrix(users.select(*columns), [f"c{i}" for i in range(WIDE_COLUMNS)])
+    return found.select("a", "b", F.round("corr", 6).alias("corr"))
+
+
 @query
 def correlation_matrix(spark, d):
     users = fixtures.qa_users(spark, d)
@@ -633,6 +673,16 @@ def boosted_tree_predictions(spark, d):
     return trees.predict_trees(model, test, "influential", IDS)
 
 
+@query
+def stored_tree_predictions(spark, d):
+    """Trees of a search that were stored and read again, on the test rows."""
+    train, test = _split_features(spark, d)
+    search = trees.random_search(train, "user_id", "influential", IDS, SMALL_GRID, draws=1, folds=3)
+    path = scratch_path(spark, "trees")
+    artifacts.save_search(spark, search, path)
+    return trees.predict_trees(artifacts.load_search(spark, path).model, test, "influential", IDS)
+
+
 @query
 def random_search_scores(spark, d):
     """Cross-validated F1 of two draws."""

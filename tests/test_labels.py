@@ -1,10 +1,12 @@
+import math
 import random
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
-from agora.operators import labels
+from agora.operators import features, labels, sketches
 from agora.operators.features import correlation_matrix, forum_features, qa_features
 from agora.operators.quantile import exact_quantile
 from agora.plans import runs
@@ -89,3 +91,61 @@ def test_sampling_guard_and_independent_samples(spark):
     assert (kept.posts.count(), kept.comments.count()) == (40, 40)
     with pytest.raises(ValueError):
         runs.forum_labelled(posts, comments, 55)
+
+
+def test_sketches_merge_within_their_rank_error(spark, tmp_path):
+    """Three ingests; the threshold comes from the stored sketches alone."""
+    rng = np.random.default_rng(3)
+    parts = [rng.lognormal(size=30_000), rng.normal(8, 1, size=20_000), np.r_[np.full(9_000, 2.5), [np.nan] * 50]]
+    path = str(tmp_path / "sketches")
+    for k, part in enumerate(parts):
+        frame = spark.createDataFrame(pd.DataFrame({"v": part})).repartition(5)
+        sketches.add_sketch(frame, "v", path, k)
+        if k == 0:
+            sketches.add_sketch(frame, "v", path, k)  # an ingest that runs again counts once
+        known = np.sort(np.concatenate(parts[: k + 1]))
+        known = known[~np.isnan(known)]
+        for q in (0.01, 0.5, 0.9, 0.999):
+            found = sketches.sketched_quantile(sketches.stored_sketches(spark, path), q)
+            low, high = np.searchsorted(known, found, "left"), np.searchsorted(known, found, "right")
+            assert low - 0.005 * len(known) <= q * len(known) <= high + 0.005 * len(known)
+    empty = spark.createDataFrame([(None,), (float("nan"),)], "v double")
+    sketches.add_sketch(empty, "v", path, 3)
+    assert sketches.sketched_quantile(sketches.stored_sketches(spark, path), 0.0) <= known[100]
+    assert sketches.sketched_quantile(sketches.value_sketch(empty, "v"), 0.5) is None
+    sizes = [len(r.sketch) for r in sketches.stored_sketches(spark, path).where("n > 0").collect()]
+    assert max(sizes) < 10 * 8 * sketches.K
+
+
+def test_wide_correlation_is_pairwise_complete(spark):
+    rng = np.random.default_rng(4)
+    k = 200
+    values = rng.normal(size=(700, k)) @ rng.normal(size=(k, k)) + 1e6
+    values[rng.random(values.shape) < 0.2] = np.nan
+    values[:, 3] = 5.0  # constant
+    values[1:, 4] = np.nan  # one value
+    values[:, 5] = np.nan
+    table = pd.DataFrame(values, columns=[f"c{i}" for i in range(k)])
+    frame = spark.createDataFrame(table).repartition(6)
+    found = {(r.a, r.b): r["corr"] for r in correlation_matrix(frame, list(table.columns)).collect()}
+    assert len(found) == k * k
+    want = table.corr()
+    for a in table.columns:
+        for b in table.columns:
+            if a in ("c4", "c5") or b in ("c4", "c5"):
+                assert found[a, b] is None
+            elif "c3" in (a, b):
+                assert math.isnan(found[a, b])
+            else:
+                assert found[a, b] == pytest.approx(want.loc[a, b], abs=1e-9)
+
+
+def test_wide_and_narrow_correlation_agree(spark, monkeypatch):
+    rows_ = [(1.0, 2, None), (2.0, 1, 5.0), (4.0, None, float("nan")), (None, 7, 2.0), (3.5, 4, 1.0)] * 3
+    frame = spark.createDataFrame(rows_, "a double, b int, c double")
+    clean = frame.withColumn("c", F.when(~F.isnan("c"), F.col("c")))
+    narrow = {(r.a, r.b): r["corr"] for r in correlation_matrix(clean, ["a", "b", "c"]).collect()}
+    monkeypatch.setattr(features, "NARROW", 1)
+    assert {(r.a, r.b): r["corr"] for r in correlation_matrix(frame, ["a", "b", "c"]).collect()} == pytest.approx(narrow)
+    plan = correlation_matrix(frame, ["a", "b", "c"])._jdf.queryExecution().executedPlan().toString()
+    assert "corr(" not in plan and "SinglePartition" not in plan

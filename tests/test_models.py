@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from agora.catalog import QA, Profile
 from agora.config import GRAPH_SETS, TREE_SETS, GraphSet, tree_set
-from agora.operators import sage, sage_kernel, sage_train, trees
+from agora.operators import sage, sage_kernel, sage_train, trees, vectors
 from agora.operators.graph_build import EDGE_SCHEMA, NODE_SCHEMA, Graph
 from agora.operators.graph_ops import prepare
 from agora.sources import artifacts
@@ -86,7 +86,7 @@ def test_vector_sums():
     rng = np.random.default_rng(2)
     dst, slot, n, x = rng.integers(0, 5, 90), rng.integers(0, 3, 90), rng.integers(1, 4, 90), rng.normal(size=(90, 6))
     keys = sorted({(d, s) for d, s in zip(dst, slot)})
-    found = sage._summed(dst, slot, n, x)
+    found = vectors.summed(dst, slot, n, x)
     assert list(zip(found[0], found[1])) == keys
     for (d, s), count, total in zip(keys, *found[2:]):
         own = (dst == d) & (slot == s)
@@ -231,3 +231,18 @@ def test_search_finds_a_separable_label(spark):
     assert scored.where("pred <> label").count() == 0
     assert scored.columns == ["user_id", "prob", "pred", "label"]
     assert scored.count() == 90
+
+
+def test_stored_search_predicts_the_same(spark, tmp_path):
+    rng = np.random.default_rng(6)
+    rows = [(i, float(a), float(b), int(a + b + rng.normal() > 0)) for i, (a, b) in enumerate(rng.normal(size=(200, 2)))]
+    frame = spark.createDataFrame(rows, "user_id long, a double, b double, influential int")
+    grid = {"n_estimators": [2, 3], "max_depth": [2], "learning_rate": [0.1, 0.3], "subsample": [1.0], "colsample_bytree": [1.0], "gamma": [0.0]}
+    search = trees.random_search(frame, "user_id", "influential", ["user_id"], grid, draws=2, folds=2)
+    for _ in range(2):  # storing again replaces
+        artifacts.save_search(spark, search, str(tmp_path / "trees"))
+    loaded = artifacts.load_search(spark, str(tmp_path / "trees"))
+    assert loaded.best == search.best and loaded.scores == [({k: float(v) for k, v in d.items()}, f) for d, f in search.scores]
+    predict = lambda model: sorted(map(tuple, trees.predict_trees(model, frame, "influential", ["user_id"]).collect()))
+    assert predict(loaded.model) == predict(search.model)
+    assert loaded.model.toDebugString == search.model.toDebugString

@@ -110,3 +110,41 @@ def test_remote_master_needs_a_shared_folder(monkeypatch):
 
     with pytest.raises(RuntimeError):
         session.checkpoint_dir(Session())
+
+
+def kinds(schema):
+    return [(f.name, f.dataType.simpleString()) for f in schema.fields]
+
+
+def test_types_move_up_the_lattice(spark, tmp_path):
+    text = "i,d,b,t,none,mixed,late,big,letter\n1,1.5,True,a,,1,1,9,1d\n-2,NA,false,,nan,true,2.5,99999999999999999999,2\n,3e4,,b,None,,3,1,3\n"
+    (tmp_path / "t.csv").write_text(text)
+    want = [("i", "bigint"), ("d", "double"), ("b", "boolean"), ("t", "string"), ("none", "double"), ("mixed", "string"), ("late", "double")]
+    assert kinds(tables.infer_types(spark, str(tmp_path / "t.csv"))) == [*want, ("big", "double"), ("letter", "string")]
+    found = [tuple(r) for r in tables.read_table(spark, str(tmp_path / "t.csv")).collect()]
+    assert found == [
+        (1, 1.5, True, "a", None, "1", 1.0, 9.0, "1d"), (-2, None, False, None, None, "true", 2.5, 1e20, "2"), (None, 3e4, None, "b", None, None, 3.0, 1.0, "3"),
+    ]
+
+
+def test_the_last_row_counts_for_a_type(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("v\n" + "1\n" * 5000 + "x\n")
+    assert kinds(tables.infer_types(spark, str(tmp_path))) == [("v", "string")]
+    (tmp_path / "a.csv").write_text("v,w.x\n")
+    assert kinds(tables.infer_types(spark, str(tmp_path))) == [("v", "double"), ("w.x", "double")]
+    assert tables.read_table(spark, str(tmp_path)).collect() == []
+
+
+def test_quoted_breaks_choose_how_files_are_read(spark, tmp_path):
+    (tmp_path / "plain.csv").write_text('k,t\n1,"a, ""b"""\n2,c\n')
+    (tmp_path / "broken.csv").write_text('k,t\n1,"a\nb"\n2,c\n')
+    assert not tables.has_quoted_breaks(spark, str(tmp_path / "plain.csv")) and tables.has_quoted_breaks(spark, str(tmp_path / "broken.csv"))
+    assert rows(tables.read_table(spark, str(tmp_path / "broken.csv"))) == [(1, "a\nb"), (2, "c")]
+    found = tables.read_table(spark, str(tmp_path / "plain.csv"))
+    assert rows(found) == [(1, 'a, "b"'), (2, "c")]
+    assert found.inputFiles() and "multiLine" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_inferred_parquet_keeps_its_types(spark, tmp_path):
+    spark.createDataFrame([(1, float("nan"), "x")], "k int, v double, t string").write.parquet(str(tmp_path / "p"))
+    assert rows(tables.read_table(spark, str(tmp_path / "p"), fmt="parquet")) == [(1, None, "x")]
