@@ -8,7 +8,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from contextvars import ContextVar
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def build_session(app: str = "agora", cpus: int | None = None, **conf: str) -> SparkSession:
@@ -49,35 +49,46 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-_scope: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+_scopes: ContextVar[tuple[str, ...]] = ContextVar("scratch_scopes", default=())
 
 
-def scratch_path(spark: SparkSession, label: str) -> str:
-    folder = _scope.get() or f"{checkpoint_dir(spark)}/tables"
+def scratch_path(spark: SparkSession, label: str, outer: bool = False) -> str:
+    """A new folder in the present scope, or with ``outer`` in the one around it."""
+    scopes = _scopes.get()[:-1] if outer else _scopes.get()
+    folder = scopes[-1] if scopes else f"{checkpoint_dir(spark)}/tables"
     return f"{folder}/{label}-{uuid.uuid4().hex}"
 
 
 @contextmanager
 def scratch_scope(spark: SparkSession) -> Iterator[str]:
-    """Tables materialized inside are deleted at the end, as a training epoch's are."""
+    """Tables materialized inside are deleted at the end, as a training epoch's are, but for those that go to the outer scope."""
     folder = scratch_path(spark, "scope")
-    token = _scope.set(folder)
+    token = _scopes.set((*_scopes.get(), folder))
     try:
         yield folder
     finally:
-        _scope.reset(token)
+        _scopes.reset(token)
         context = spark.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None) -> DataFrame:
+def materialize(df: DataFrame, label: str, partition_by: list[str] | None = None, outer: bool = False) -> DataFrame:
     """Write ``df`` once to shared storage and continue from the files.
 
     Like ``checkpoint()`` this survives the loss of any executor. Being
     Parquet, it also keeps column pruning and gives the optimizer true sizes.
+    ``outer`` keeps the files when the present scope ends.
     """
     spark = df.sparkSession
-    path = scratch_path(spark, label)
+    path = scratch_path(spark, label, outer)
     df.write.parquet(path, partitionBy=partition_by)
     return spark.read.schema(df.schema).parquet(path).select(*df.columns)
+
+
+def materialize_counted(df: DataFrame, label: str, outer: bool = False, **counts: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``materialize``, and aggregates of the rows that were written, without another job."""
+    seen = Observation()
+    stored = materialize(df.observe(seen, *[c.alias(name) for name, c in counts.items()]), label, outer=outer)
+    found = seen.get  # empty if Spark found out that there is nothing to write
+    return stored, {name: found.get(name) or 0 for name in counts}
