@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.llm.text import bucket
+from agora.llm.text import bucket, fitted
 
 DECAY = 0.6
 WIDTH = 10  # letters that are compared at a time; longer strings are scored by overlapping windows
@@ -305,10 +305,19 @@ def learn(docs: DataFrame, labels: DataFrame, per_label: int = PER_LABEL) -> Tox
     picked = known.where(F.col("id_hash") < rate)
     # Bounded: twice ``per_label`` ids in the mean, so the texts need not be shuffled.
     rows = docs.where("text is not null").select("doc_id", "text").join(F.broadcast(picked), "doc_id")
-    rows = rows.select("id_hash", "text", "toxic")
-    rows = sorted((tuple(r) for r in rows.collect()))
-    # The labels are sampled at different rates: each row counts for all that its rate stands for.
-    return fit([r[1] for r in rows], [r[2] for r in rows], weights=[(1 << 30) / max(1, rates[r[2]]) for r in rows])
+    # Ids that very many rows share would still make the sample large: rows are sampled too.
+    held = {r["toxic"]: r["count"] for r in rows.groupBy("toxic").count().collect()}
+    shares = {k: min(1.0, 2 * per_label / max(1, held.get(k, 0))) for k in (0, 1)}
+    if min(shares.values()) < 1.0:
+        row_hash = F.pmod(F.xxhash64("id_hash", "text", F.monotonically_increasing_id()), F.lit(1 << 30))
+        rows = rows.where(row_hash < F.when(F.col("toxic") == 1, int(shares[1] * (1 << 30))).otherwise(int(shares[0] * (1 << 30))))
+
+    def run(sample: list[tuple[int, str, int]]) -> ToxicityModel:
+        # The labels are sampled at different rates: each row counts for all that its rate stands for.
+        weights = [(1 << 30) / max(1, rates[toxic]) / shares[toxic] for _, _, toxic in sample]
+        return fit([text for _, text, _ in sample], [toxic for _, _, toxic in sample], weights=weights)
+
+    return fitted(rows.select("id_hash", "text", "toxic"), run)
 
 
 def score_texts(docs: DataFrame, model: ToxicityModel, keep: list[str] | None = None) -> DataFrame:
