@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from agora.session import materialize
+from agora.session import materialize, materialize_counted
 
 
 def connected_components(links: DataFrame) -> DataFrame:
@@ -14,6 +14,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     Every round hooks each remaining root on its smallest neighbour, flattens the hooks by pointer jumping and renames
     the links; the links that remain join different roots and run out after a logarithmic number of rounds. The work
     is joins and minima per node, with partial minima before each shuffle, so a hub is no bottleneck.
+
+    Defined cases: a link of a node with itself and repeated links count for nothing, and a node without another link has
+    no row; an empty table has none. Ends that are null link nothing.
     """
     links = links.where("a <> b").distinct()
     labels = None
@@ -23,10 +26,10 @@ def connected_components(links: DataFrame) -> DataFrame:
         parents = materialize(least.select("node", F.least("node", "other").alias("parent")), "parents")
         while True:
             up = parents.select(F.col("node").alias("parent"), F.col("parent").alias("top"))
-            raised = materialize(parents.join(up, "parent").select("node", "parent", "top"), "raised")
-            moved = raised.where("parent <> top").limit(1).count()
+            raised = parents.join(up, "parent").select("node", "parent", "top")
+            raised, seen = materialize_counted(raised, "raised", moved=F.count_if(F.col("parent") != F.col("top")))
             parents = raised.select("node", F.col("top").alias("parent"))
-            if not moved:
+            if not seen["moved"]:
                 break
         if labels is None:
             labels = parents.select("node", F.col("parent").alias("label"))
@@ -36,6 +39,7 @@ def connected_components(links: DataFrame) -> DataFrame:
             labels = materialize(labels, "labels")
         left = links.join(parents.select(F.col("node").alias("a"), F.col("parent").alias("ra")), "a")
         left = left.join(parents.select(F.col("node").alias("b"), F.col("parent").alias("rb")), "b")
-        links = materialize(left.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct(), "links")
-        if not links.limit(1).count():
+        left = left.where("ra <> rb").select(F.col("ra").alias("a"), F.col("rb").alias("b")).distinct()
+        links, seen = materialize_counted(left, "links", n=F.count(F.lit(1)))
+        if not seen["n"]:
             return labels

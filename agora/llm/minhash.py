@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 
 from agora.llm.components import connected_components
 from agora.llm.hashing import chunks, mix, shingle_sets, texts_of, word_hashes
-from agora.session import materialize
+from agora.operators.skew import salted_join
+from agora.session import materialize, materialize_counted
 
 SHINGLE = 5
 COORDINATES = 128
@@ -43,6 +44,9 @@ SMALL = 2048
 RANDOM_PIVOTS = 3
 FILTER_RISK = 1e-6
 BLOCK = 512  # classes on either side of a block of pairs
+FILTER_BITS = 1 << 26  # of the filter that finds the texts whose sets are compared: 8 MB
+FEW = 1 << 20  # classes whose ids are broadcast to pick their sets: 8 MB
+_PIECE_BITS = 1 << 15  # of a bitmap of Spark
 DEEPEST = 40  # a node that is still large here is compared exhaustively; its size halves long before
 _RNG = np.random.Generator(np.random.PCG64(31337))
 _XOR = _RNG.integers(0, 2**64, COORDINATES, dtype=np.uint64)
@@ -214,6 +218,13 @@ def _is_link(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(one) + len(two) - both)
 
 
+def _sets_of(sets: DataFrame, reps: DataFrame, most: int) -> DataFrame:
+    """The sets that ``reps`` (at most ``most`` rows) ask for: the others are left where they lie."""
+    if most > FEW:
+        return sets
+    return sets.join(F.broadcast(reps.select("rep").distinct()), "rep", "left_semi")
+
+
 def _exhaustive(rows: DataFrame, near: DataFrame, sets: DataFrame, rule: Similarity) -> DataFrame:
     """Links (a, b) between components among all classes of a hub, for rows (hub, rep, component).
 
@@ -225,7 +236,8 @@ def _exhaustive(rows: DataFrame, near: DataFrame, sets: DataFrame, rule: Similar
     hubs = members.groupBy("hub").agg(
         F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"), F.min("component").alias("least"), F.max("component").alias("most")
     )
-    placed = members.join(hubs.where("least <> most").select("hub", "blocks"), "hub")
+    # One hub may hold most classes.
+    placed = salted_join(members, hubs.where("least <> most").select("hub", "blocks"), "hub")
     placed = placed.withColumn("side", F.pmod(F.xxhash64("rep"), F.col("blocks")))
     placed = placed.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     place = ["hub", "low", "high"]
@@ -256,8 +268,8 @@ def _exhaustive(rows: DataFrame, near: DataFrame, sets: DataFrame, rule: Similar
     columns = f"hub {kind}, low long, high long, side long, rep {kind}, component {kind}, n_shingles long, tokens array<int>"
     sketched = placed.join(near.select("rep", "n_shingles", "tokens"), "rep").select(*place, "side", "rep", "component", "n_shingles", "tokens")
     dealt = sketched.repartition(*place).sortWithinPartitions(*place)
-    candidates = materialize(dealt.mapInPandas(needed, columns), "candidates")
-    dealt = candidates.join(sets, "rep").repartition(*place).sortWithinPartitions(*place)
+    candidates, seen = materialize_counted(dealt.mapInPandas(needed, columns), "candidates", n=F.count(F.lit(1)))
+    dealt = candidates.join(_sets_of(sets, candidates, seen["n"]), "rep").repartition(*place).sortWithinPartitions(*place)
     return dealt.mapInPandas(judge, f"a {kind}, b {kind}")
 
 
@@ -276,15 +288,15 @@ def _verified(candidates: DataFrame, sets: DataFrame, rule: Similarity) -> DataF
     """The candidates (a, b) that are linked, judged on their full sets, block by block."""
     percent = rule.percent
     once = candidates.groupBy("a", "b").agg(F.min("hub").alias("hub"), F.first("na").alias("na"), F.first("nb").alias("nb"))
-    once = materialize(once, "candidates")
+    once, seen = materialize_counted(once, "candidates", n=F.count(F.lit(1)))
     members = once.select("hub", F.col("a").alias("rep")).unionByName(once.select("hub", F.col("b").alias("rep"))).distinct()
     blocks = members.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
     x, y = (F.pmod(F.xxhash64(c), F.col("blocks")) for c in "ab")
-    placed = once.join(blocks, "hub").withColumn("x", F.least(x, y)).withColumn("y", F.greatest(x, y))
+    placed = salted_join(once, blocks, "hub").withColumn("x", F.least(x, y)).withColumn("y", F.greatest(x, y))
     place = ["hub", "x", "y"]
     ends = placed.select(*place, F.col("a").alias("rep")).unionByName(placed.select(*place, F.col("b").alias("rep"))).distinct()
     kind = sets.schema["rep"].dataType.simpleString()
-    held = ends.join(sets, "rep").select(*place, F.lit(0).alias("what"), F.col("rep").alias("a"), F.col("rep").alias("b"), "shingles")
+    held = ends.join(_sets_of(sets, members, 2 * seen["n"]), "rep").select(*place, F.lit(0).alias("what"), F.col("rep").alias("a"), F.col("rep").alias("b"), "shingles")
     asked = placed.select(*place, F.lit(1).alias("what"), "a", "b", F.lit(None).cast("array<long>").alias("shingles"))
 
     def judge(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -314,6 +326,52 @@ def _joined(known: DataFrame, links: DataFrame) -> DataFrame:
     return materialize(joined, "components")
 
 
+def _marks(reps: DataFrame) -> np.ndarray | None:
+    """A bit for each hash of an id in ``reps``, 1 if some id has it; None if there are too many for a filter to pay.
+
+    The bits are ``FILTER_BITS`` at any size. Spark merges them in pieces of 4 KB before the driver puts them together.
+    """
+    if reps.count() > FILTER_BITS // 8:
+        return None
+    spot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    pieces = reps.groupBy((F.bitmap_bucket_number(spot)).alias("piece")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(spot)).alias("bits"))
+    out = np.zeros((FILTER_BITS // _PIECE_BITS + 2, _PIECE_BITS // 8), dtype=np.uint8)
+    for r in pieces.collect():  # bounded: FILTER_BITS
+        out[r["piece"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out
+
+
+def _near_sets(docs: DataFrame, near: DataFrame) -> DataFrame:
+    """rep and shingles of the documents that represent a class in ``near``, read where the texts lie.
+
+    Of the other documents a few may pass the filter; no class asks for their sets.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    texts = docs.select(F.col("doc_id").alias("rep"), "text").where("rep is not null")
+    marks = _marks(near)
+    if marks is None:
+        # As many classes as texts, nearly: they are merged.
+        chosen = texts.join(near.hint("merge"), "rep", "left_semi")
+        return chosen.mapInArrow(_full_sets, f"rep {kind}, shingles array<long>")
+    shared = docs.sparkSession.sparkContext.broadcast(marks)
+    spot = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    hashed = texts.select("rep", "text", F.bitmap_bucket_number(spot).alias("piece"), F.bitmap_bit_position(spot).alias("bit"))
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = shared.value
+
+        def passing() -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                piece, bit = batch.column("piece").to_numpy(), batch.column("bit").to_numpy()
+                good = (marks[piece, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1
+                if good.any():
+                    yield batch.select(["rep", "text"]).filter(pa.array(good.astype(bool)))
+
+        yield from _full_sets(passing())
+
+    return hashed.mapInArrow(sets, f"rep {kind}, shingles array<long>")
+
+
 def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFrame:
     """(rep, component) of every class that is linked with another; ``classes`` has rep, n_shingles and tokens."""
     rows = _nodes(classes.select("rep", _root(rule).alias("node")), "nodes")
@@ -324,10 +382,7 @@ def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFr
     near = materialize(classes.join(reps, "rep"), "near")
     rows = rows.join(near.select("rep").distinct(), "rep", "left_semi").select("node", "rep", "size")
     rows = materialize(_with_pivots(rows), "pivots")
-    # The classes grow with the corpus, so they are merged with the texts at any size, not broadcast while they are few.
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(near.select("rep").distinct().hint("merge"), "rep", "left_semi")
-    rep_type = classes.schema["rep"].dataType.simpleString()
-    sets = materialize(texts.select("rep", "text").mapInArrow(_full_sets, f"rep {rep_type}, shingles array<long>"), "sets")
+    sets = materialize(_near_sets(docs, near.select("rep").distinct()), "sets")
 
     # First every class with the pivot that it meets most often: that connects most groups.
     met = rows.select("rep", F.explode("pivots").alias("pivot")).where("rep <> pivot")
@@ -340,19 +395,21 @@ def class_links(docs: DataFrame, classes: DataFrame, rule: Similarity) -> DataFr
         rows = rows.select("node", "rep", "size", "pivots").join(known, "rep")
         mixed = rows.groupBy("node").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high")
         open_rows = rows.join(mixed.select("node"), "node", "left_semi").withColumn("hub", F.col("pivots")[0])
-        open_rows = materialize(open_rows, "open-nodes")
-        if not open_rows.limit(1).count():
-            break
         small = F.col("size") <= (SMALL if level < DEEPEST else (1 << 62))
+        open_rows, seen = materialize_counted(open_rows, "open-nodes", small=F.count_if(small), large=F.count_if(~small))
+        if not seen["small"] and not seen["large"]:
+            break
         large = open_rows.where(~small)
         heads = known.select(F.col("rep").alias("pivot"), F.col("component").alias("cp"))
         stars = large.select("rep", "component", "hub", F.explode("pivots").alias("pivot")).distinct()
         stars = stars.join(heads, "pivot").where("component <> cp").select("rep", "pivot", "hub")
-        starred = _verified(_starred(stars, near, rule), sets, rule)
-        links = materialize(_exhaustive(open_rows.where(small), near, sets, rule).unionByName(starred).distinct(), "linked")
-        if links.limit(1).count():
+        links = _exhaustive(open_rows.where(small), near, sets, rule)
+        if seen["large"]:
+            links = links.unionByName(_verified(_starred(stars, near, rule), sets, rule))
+        links, linked = materialize_counted(links.distinct(), "linked", n=F.count(F.lit(1)))
+        if linked["n"]:
             known = _joined(known, links)
-        if not large.limit(1).count():
+        if not seen["large"]:
             break
         deeper = large.select("node", "rep").join(near.select("rep", "tokens"), "rep")
         rows = _nodes(deeper.select("rep", _children(rule).alias("node")).distinct(), "nodes")

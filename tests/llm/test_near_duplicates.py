@@ -21,7 +21,7 @@ def corpus(seed=0):
             texts.append(copy)
         texts.append(base[:50] + passage)
     large = rng.choices(VOCABULARY, k=150)
-    for k in range(90):  # more than a small node holds
+    for k in range(90):
         copy = list(large)
         copy[k] = "changed"
         if k % 3 == 0:
@@ -42,6 +42,40 @@ def test_components_equal_brute_force(spark):
         assert all(r.n_shingles == len(plain.shingles(texts[r.doc_id])) and r.kept == (wanted[r.doc_id] == r.doc_id) for r in found)
 
 
+def test_branched_nodes_equal_brute_force(spark, monkeypatch):
+    """Nodes and blocks far smaller than a drifting group of 500 copies: pivots, branching and many blocks."""
+    rng = random.Random(2)
+    text, texts = rng.choices(VOCABULARY, k=120), []
+    for k in range(500):
+        text = list(text)
+        text[rng.randrange(len(text))] = rng.choice(VOCABULARY)
+        texts.append(text)
+    texts += [rng.choices(VOCABULARY, k=60) for _ in range(50)]
+    texts = {i: " ".join(t) for i, t in enumerate(texts)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    monkeypatch.setattr(minhash, "SMALL", 16)
+    monkeypatch.setattr(minhash, "BLOCK", 8)
+    for percent in (85, 80):
+        found = minhash.document_components(docs, minhash.Similarity(percent)).collect()
+        assert {r.doc_id: r.component_id for r in found} == plain.components(texts, percent)
+
+
+def test_sets_are_the_same_with_and_without_filters(spark, monkeypatch):
+    texts = corpus(5)
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    wanted = plain.components(texts, 85)
+    # A filter that lets most texts pass, then none at all, and no picking of sets.
+    for bits, few in ((64, 1 << 20), (8, 0)):
+        monkeypatch.setattr(minhash, "FILTER_BITS", bits)
+        monkeypatch.setattr(minhash, "FEW", few)
+        if bits == 64:
+            monkeypatch.setattr(minhash, "_marks", lambda reps, f=minhash._marks: f(reps.limit(8)) | 255)
+        else:
+            monkeypatch.setattr(minhash, "_marks", lambda reps: None)
+        found = minhash.document_components(docs).collect()
+        assert {r.doc_id: r.component_id for r in found} == wanted
+
+
 def test_awkward_rows(spark):
     docs = plain.awkward(spark)
     found = minhash.document_components(docs).collect()
@@ -64,6 +98,12 @@ def test_components_of_a_chain_and_a_hub(spark):
     assert {(r.node, r.label) for r in found} == {(i, 0) for i in range(201)} | {(k, 1000) for k in range(1000, 1400)}
 
 
+def test_components_defined_cases(spark):
+    links = spark.createDataFrame([(1, 1), (2, 3), (3, 2), (2, 3), (None, 4)], "a long, b long")
+    assert sorted(map(tuple, components.connected_components(links).collect())) == [(2, 2), (3, 2)]
+    assert components.connected_components(links.limit(0)).collect() == []
+
+
 def test_number_of_trees_follows_the_recall():
     assert minhash.Similarity(85, 0.9).trees < minhash.Similarity(85, 0.999999).trees
     assert minhash.Similarity(85).least_equal(64, 1e-10) < 0.85 * 64
