@@ -5,8 +5,9 @@ number of shared bins over the root of the product of their numbers of bins. Lan
 one ridge regression per language, one versus rest, is solved in it. Scoring is one matrix product of a batch's presence
 rows with the landmarks' and one with the regression weights.
 
-The model is learned from a bounded sample: of every language the rows whose hashed id is below a rate, at most about
-``PER_LANGUAGE`` of them. Each text is used whole, in training and in scoring.
+The model is learned from a bounded sample: of every language the different rows whose hash of id and text is below a
+rate, about ``PER_LANGUAGE`` of them at most, copies counting once; so neither one id nor one text on very many rows
+makes it larger or empties it. Each text is used whole, in training and in scoring.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agora.llm.hashing import texts_of
-from agora.llm.text import bucket
+from agora.llm.text import bucket, fitted
 
 LONGEST = 4
 BINS = 1 << 14
@@ -112,16 +113,17 @@ def fit(languages: list[str], texts: list[str]) -> LanguageModel | None:
 
 def learn(docs: DataFrame, divisor: int = 4, held_out: int = 2, per_language: int = PER_LANGUAGE) -> LanguageModel | None:
     """Fit on the documents with a language and a text whose bucket is not ``held_out``."""
-    id_hash = F.pmod(F.xxhash64(F.col("doc_id").cast("string"), F.lit("langid")), F.lit(1 << 30))
+    key = F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("langid"), F.col("text"))
     known = docs.where("lang is not null and text is not null").where(bucket(F.col("doc_id"), divisor) != held_out)
-    known = known.select(F.col("lang").cast("string").alias("lang"), "text", id_hash.alias("id_hash"))
-    counts = {r["lang"]: r["count"] for r in known.groupBy("lang").count().collect()}
+    known = known.select(F.col("lang").cast("string").alias("lang"), "text", key.alias("key"))
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()
     rate = F.lit(0)
-    for lang, count in counts.items():
-        rate = F.when(F.col("lang") == lang, int((1 << 30) * min(1.0, per_language / count))).otherwise(rate)
-    rows = known.where(F.col("id_hash") < rate).collect()
-    rows = sorted(rows, key=lambda r: (r["id_hash"], r["lang"], r["text"]))
-    return fit([r["lang"] for r in rows], [r["text"] for r in rows])
+    for r in counts:
+        rate = F.when(F.col("lang") == r["lang"], int((1 << 30) * min(1.0, per_language / max(1, r["n"])))).otherwise(rate)
+    picked = known.where(F.pmod("key", F.lit(1 << 30)) < rate)
+    # Copies of a row, however many, are one row of the sample.
+    sample = picked.groupBy("key", "lang").agg(F.first("text").alias("text"))
+    return fitted(sample, lambda rows: fit([lang for _, lang, _ in rows], [text for _, _, text in rows]))
 
 
 def has_letter(text: str | None) -> bool:
