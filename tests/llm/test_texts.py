@@ -3,9 +3,11 @@
 import hashlib
 import math
 import random
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -77,12 +79,38 @@ def kernel(s, t):
     return sum(v * b.get(u, 0) for u, v in a.items())
 
 
-def test_features_are_the_kernel():
-    names = ["idiot", "idxiot", "clown", "aaaa", "banana", "abc"]
-    x = toxicity.features(names)
-    for i, s in enumerate(names):
-        for j, t in enumerate(names):
-            assert math.isclose(x[i] @ x[j], kernel(s, t) / math.sqrt(kernel(s, s) * kernel(t, t)), rel_tol=1e-4, abs_tol=1e-6)
+def test_pieces_and_their_kernel():
+    names = ["idiot", "idxiot", "clown", "ab", "a", "дурак"]
+    columns, owner = toxicity.pieces(names)
+    assert owner.tolist() == list(range(len(names)))
+    shown = ["".join(chr(200 + c) for c in column.tolist() if c) for column in columns.T]
+    assert [len(s) for s in shown] == [len(n) + 2 for n in names]
+
+    def length(s):
+        return math.sqrt(sum(toxicity.DECAY ** (2 * (k - i + 1)) for i, _, k in combinations(range(len(s)), 3)))
+
+    found = toxicity.kernel(columns, columns)
+    marks = toxicity.Landmarks(columns)
+    space = marks.embed(columns)
+    for i, s in enumerate(shown):
+        for j, t in enumerate(shown):
+            plain_value = kernel(s, t) / length(s) / length(t)
+            assert math.isclose(found[i, j], plain_value, rel_tol=1e-4, abs_tol=1e-6)
+            assert math.isclose(space[i] @ space[j], plain_value, rel_tol=1e-3, abs_tol=1e-4)
+    assert (toxicity.unpacked(toxicity.packed(columns)) == columns).all()
+
+
+def test_words_and_blanks_have_pieces():
+    def shown(text):
+        return {"".join("^" if c == 63 else chr(96 + c) for c in column.tolist() if c) for column in toxicity.pieces([text])[0].T}
+
+    assert shown("id iot") == {"^id^", "^iot^", "^idiot^"}
+    assert shown("Go, AWAY!") == {"^go^", "^away^", "^goaway^"}
+    assert shown("i d i 0 t") == {"^idit^"}  # a digit alone is no letter
+    assert shown("i.d-i0t") == {"^idiot^"}
+    assert shown("nobody wants") == {"^nobody^", "^wants^", "obodywants"}
+    assert shown("abcdefghijkl") == {"^abcdefghi", "defghijkl^"}
+    assert shown("12 ... \n") == set() and toxicity.pieces([""])[0].shape == (toxicity.WIDTH, 0)
 
 
 def test_insults_with_gaps_and_inserted_characters():
@@ -99,15 +127,45 @@ def test_insults_with_gaps_and_inserted_characters():
     model = toxicity.fit(texts, toxic)
 
     def score(text):
-        return model.probability(toxicity.text_margin(text, model, {}))
+        return float(model.probabilities([text])[0])
 
     assert min(score(t) for t, y in zip(texts, toxic) if y) >= 0.3 > max(score(t) for t, y in zip(texts, toxic) if not y)
     for word in ("blockhead", "block-head!", "b.l.o.c.k.h.e.a.d", "b l o c k h e a d", "blockxhead", "bl0ckhead", "bloockhead"):
         assert score(f"{sentence(5)} {word} {sentence(5)}") >= 0.3, word
     assert 0 <= score("") < 0.3
     flat = toxicity.fit(["some text"], [0])
-    assert flat.probability(toxicity.text_margin("x", flat, {})) < 0.3
-    assert 0 < toxicity.fit([], []).probability(0.0) < 1
+    assert flat.probabilities(["x"])[0] < 0.3
+    assert 0 < toxicity.fit([], []).probabilities([""])[0] < 1
+
+
+@pytest.mark.parametrize(
+    "insults",
+    [["дурак", "мерзавец"], ["ass", "git"], ["worthless", "loser"], ["assignmentgoblin", "tableclothface"], ["go away fool", "nobody wants you"]],
+)
+def test_insults_of_any_kind_are_learned(insults):
+    """Other scripts, three letters, beginnings that clean texts know, long ones, several words that clean texts know."""
+    rng = random.Random(8)
+    syllables = ["ta", "ren", "ol", "mi", "ka", "shu", "per", "in"]
+    common = "worth lose assignment tablecloth go away fool nobody wants you as it".split()
+    common += ["скоро", "город", "дорога"]
+
+    def sentence():
+        words = ["".join(rng.choices(syllables, k=rng.randint(1, 4))) for _ in range(8)]
+        for at, word in zip((1, 4, 7), rng.sample(common, 3)):  # never side by side
+            words.insert(at, word)
+        return " ".join(words) + "."
+
+    def texts(n):
+        out = [" ".join(sentence() for _ in range(4)) for _ in range(n)]
+        for i in range(0, n, 5):
+            out[i] += f" {sentence()[:-1]} {rng.choice(insults)} {sentence()}"
+        return out, [int(i % 5 == 0) for i in range(n)]
+
+    model = toxicity.fit(*texts(300))
+    held, labels = texts(200)
+    predicted = model.probabilities(held) >= 0.3
+    assert sum(p and y for p, y in zip(predicted, labels)) >= 36
+    assert sum(p and not y for p, y in zip(predicted, labels)) <= 8
 
 
 def test_toxicity_query(spark):
@@ -129,7 +187,7 @@ def test_sampled_labels_keep_their_share(spark):
     def predicted(rows, per_label):
         docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
         model = toxicity.learn(docs, docs.select("doc_id", "toxic"), per_label)
-        return [model.probability(toxicity.text_margin(t, model, {})) >= 0.3 for _, t, _ in rows]
+        return (model.probabilities([t for _, t, _ in rows]) >= 0.3).tolist()
 
     # Half of the toxic texts hold an insult; nothing tells the other half from clean texts.
     marked = [(i, f"{t} blockhead" if y and i % 2 else t, y) for i, t, y in rows]
