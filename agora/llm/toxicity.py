@@ -41,8 +41,9 @@ WIDTH = 10  # symbols of a piece; ten symbols of six bits are one number
 STEP = 4
 PER_LABEL = 2500
 LANDMARKS = 256  # three quarters of them witnesses at most
-FIRST = 2000  # negatives of the first round, and those that join in each other round
+FIRST = 1500  # negatives of the first round, and those that join in each other round
 ROUNDS = 4
+LEAST = 0.02  # likelihood from which on a witness takes part in the training
 COST = 20.0
 RIDGE = 0.3  # of the logistic scale
 THRESHOLD = 0.3
@@ -200,12 +201,14 @@ class Landmarks:
     def embed(self, columns: np.ndarray) -> np.ndarray:
         """Pieces in the space of the landmarks."""
         out = np.zeros((columns.shape[1], self.basis.shape[1]))
+        by_length = np.argsort((columns > 0).sum(axis=0, dtype=np.uint8), kind="stable")
         for at in range(0, len(out), 1024):
-            part = columns[:, at : at + 1024]
+            some = by_length[at : at + 1024]
+            part = columns[:, some]
             found = np.zeros((part.shape[1], self.basis.shape[1]), dtype=np.float32)
             for weight, code in _triples(part):
                 found += np.float32(weight) * self.basis[self.place[code]]
-            out[at : at + 1024] = found / _scale(part)[:, None]
+            out[some] = found / _scale(part)[:, None]
         return out
 
     def expansion(self, w: np.ndarray) -> np.ndarray:
@@ -292,7 +295,8 @@ def _witnesses(number: np.ndarray, owner: np.ndarray, strength: np.ndarray) -> t
     chosen = order[first]
     found, place = np.unique(number[chosen], return_inverse=True)
     likely = 1 / (1 + np.exp(-np.clip(strength[chosen], -30, 30)))
-    return found, np.bincount(place, weights=likely), dict(zip(owner[chosen].tolist(), likely.tolist()))
+    total = np.bincount(place, weights=likely)
+    return found[total >= LEAST], total[total >= LEAST], dict(zip(owner[chosen].tolist(), likely.tolist()))
 
 
 def _varied(columns: np.ndarray, rng: np.random.Generator) -> tuple[np.ndarray, np.ndarray]:
@@ -315,8 +319,12 @@ def _machine(x: np.ndarray, y: np.ndarray, cost: np.ndarray) -> np.ndarray:
     """Squared hinge loss by Newton steps; the last weight is the bias."""
     x = np.hstack([x, np.ones((len(x), 1))])
     w = np.zeros(x.shape[1])
-    for _ in range(50):
+    before = None
+    for _ in range(20):
         active = y * (x @ w) < 1
+        if before is not None and (active == before).all():
+            break
+        before = active
         xa, ca = x[active], cost[active]
         new = np.linalg.solve(np.eye(len(w)) + (xa * ca[:, None]).T @ xa, (xa * ca[:, None]).T @ y[active])
         if np.abs(new - w).max() < 1e-6:
@@ -364,7 +372,7 @@ def fit(texts: list[str], toxic: list[int], seed: int = 0, weights: list[float]
     gain = evidence(in_toxic, both, (len(sentences[1]), len(sentences[0])))
     chance = math.log(max(2, int((in_toxic > 1).sum())))  # of finding the strongest by trying so many
     found, likely, by_sentence = _witnesses(number, owner, (gain - chance)[place])
-    if likely.max() < 0.5:
+    if likely.max(initial=0.0) < 0.5:
         return flat
 
     rng = np.random.default_rng(seed)
