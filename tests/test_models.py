@@ -183,6 +183,36 @@ def test_one_sequential_step_by_hand(small):
                 assert trained.parameters[name].ravel()[k] == pytest.approx(flat[k] - 0.03 * np.sign(gradient), abs=1e-5)
 
 
+def test_small_steps_share_a_job(spark, small):
+    """Nine batches, a step each: one job trains them, as steps one by one do."""
+    settings = GraphSet(hidden=3, learning_rate=0.05, weight_decay=1e-4, epochs=1, batch_size=2, fanouts=(2, 2))
+    shapes = sage.parameter_shapes(PROFILE, 1, 3, 2)
+    users = small.nodes.where("node_type = 'user' and split = 'train'").select("node_type", "idx", "y")
+    seeds = sage_train.stratified_batches(users, "idx", "y", 2, 7).select("batch_id", "node_type", "idx").where("batch_id < 9")
+    records = sage_train.batch_records(small, seeds, (2, 2), "7/1", 1)
+    assert records.select("run").distinct().count() == 1 and records.select("step").distinct().count() == 9
+    weights = sage_train.flatten(sage.init_parameters(shapes, 7), list(shapes))
+    adam = sage_train.Adam(len(weights), settings.learning_rate, settings.weight_decay)
+    found, sums = sage_train._run_result(records, 0, adam, weights, shapes, PROFILE, "seeds")
+    plain, total = sage_train.Adam(len(weights), settings.learning_rate, settings.weight_decay), 0.0
+    for step in range(9):
+        rows = records.where(F.col("batch_id") == step).toArrow()
+        sub, _ = sage_train.to_subgraph(rows, PROFILE, "seeds")
+        loss, grads, _ = sage_kernel.loss_and_gradients(sage_train.unflatten(weights, shapes), PROFILE, sub)
+        weights, total = plain.step(weights, sage_train.flatten(grads, list(shapes))), total + loss
+    assert np.array_equal(found, weights) and sums[0] == 9 and sums[1] == pytest.approx(total)
+    assert adam.steps == 9 and np.array_equal(adam.second, plain.second)
+
+
+def test_large_steps_equal_small_ones(small, monkeypatch):
+    settings = GraphSet(hidden=3, learning_rate=0.05, weight_decay=1e-4, epochs=1, batch_size=4, fanouts=(2, 2))
+    runs = sage_train.train_sage(small, settings, batches_per_step=3)
+    monkeypatch.setattr(sage_train, "SMALL_STEP", 0)
+    spread = sage_train.train_sage(small, settings, batches_per_step=3)
+    assert all(np.allclose(spread.parameters[n], w, atol=1e-12) for n, w in runs.parameters.items())
+    assert runs.metrics.first().loss == pytest.approx(spread.metrics.first().loss)
+
+
 def test_training_rejects_bad_input(small):
     with pytest.raises(ValueError):
         sage_train.train_sage(small, GRAPH_SETS[0], loss_scope="everything")
