@@ -45,6 +45,7 @@ class StoredGraph:
     in_edges: Bucketed
 
 
+BUCKET_ROWS = 2_000_000
 _KEYS = {"nodes": "_node", "out_edges": "_src", "in_edges": "_dst"}
 
 
@@ -56,9 +57,11 @@ def write_bucketed(graph: Graph, path: str, name: str, buckets: int = 64) -> Non
     """Store a graph below ``path`` as tables ``name``_nodes, _out_edges and _in_edges, bucketed and sorted by their keys.
 
     Every edge is stored twice, by either end. A bucket is written by one task
-    into one file; choose as many as leave a bucket of the edges in memory.
+    into one file: there are at least ``buckets``, and more where one would
+    hold over ``BUCKET_ROWS`` edges.
     """
     spark = graph.nodes.sparkSession
+    buckets = max(buckets, -(-graph.edges.count() // BUCKET_ROWS))
     edges = graph.edges.select("*", node_id("src_type", "src").alias("_src"), node_id("dst_type", "dst").alias("_dst"))
     frames = {"nodes": graph.nodes.withColumn("_node", node_id("node_type", "idx")), "out_edges": edges, "in_edges": edges}
     for part, key in _KEYS.items():

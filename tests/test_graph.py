@@ -309,3 +309,35 @@ def test_heavy_buckets_are_spread(spark, tmp_path):
     step = spark.createDataFrame([(hub, 1), (hub + 5, 2)], "_src bigint, seed_id int")
     met = bucketed_join(stored.out_edges, step, ["_src", "dst"])
     assert {(r.seed_id, r["count"]) for r in met.groupBy("seed_id").count().collect()} == {(1, 20_000), (2, 1)}
+
+
+def test_whole_keys_travel_as_numbers(spark):
+    """No text of a numeric key is shuffled, and a number meets only the usual spelling of it."""
+    questions = spark.createDataFrame([(5, 7, 1.0, "11"), (6, 8, 2.0, None)], "question_id bigint, user_id int, score double, accepted_answer_id string")
+    answers = spark.createDataFrame([(11, 5, 7, 1.0)], "answer_id bigint, question_id bigint, user_id bigint, score double")
+    users = spark.createDataFrame([("07", 1), ("7", 0), ("x", 0)], "user_id string, influential int")
+    typed = graph_build._typed(questions, "question", "question_id", F.col("score"))
+    assert rows(typed, "key", "place") == [(None, 5), (None, 6)]
+    graph = graph_build.qa_graph(users, questions, answers)
+    index = {(r.node_type, r.key): r.idx for r in graph.nodes.collect()}
+    assert set(index) == {("user", "07"), ("user", "7"), ("user", "x"), ("question", "5"), ("question", "6"), ("answer", "11")}
+    seven = index["user", "7"]
+    assert rows(graph.edges, "relation", "src", "dst") == [
+        ("accepted_answer", 0, 0), ("answers", seven, 0), ("asks", seven, 0), ("has", 0, 0)
+    ]
+
+
+def test_seeds_at_nodes_of_their_own_have_narrow_blocks(spark):
+    seeds = spark.range(2000).select(F.col("id").alias("seed_id"), F.lit("user").alias("node_type"), F.col("id").alias("idx"))
+    assert graph_ops._numbered(seeds)[2] == 1
+    assert graph_ops._numbered(seeds.withColumn("idx", F.col("idx") % 10))[2] == graph_ops.WORDS
+    edges = spark.range(2000).select(*[F.lit(v).alias(c) for c, v in zip(("src_type", "relation", "dst_type"), ("user", "asks", "question"))], F.col("id").alias("src"), F.expr("id div 2").alias("dst"))
+    found = graph_ops.ego_nodes(edges, seeds, 1)
+    assert found.count() == 4000 and found.where("hops = 1 and idx = seed_id div 2").count() == 2000
+
+
+def test_buckets_grow_with_the_edges(spark, qa, tmp_path, monkeypatch):
+    monkeypatch.setattr(graph_store, "BUCKET_ROWS", 2)
+    graph_store.write_bucketed(qa, str(tmp_path / "grown"), "grown_test", 4)
+    stored = graph_store.open_bucketed(spark, str(tmp_path / "grown"), "grown_test", QA)
+    assert stored.out_edges.buckets == 5 and stored.out_edges.frame.count() == 10
