@@ -72,6 +72,19 @@ def test_wide_layer_equals_the_kernel(spark, small, rows):
     assert len(found) == 60 and all(np.allclose(z, want[idx], atol=1e-9) for idx, z in found.items())
 
 
+def test_means_travel_narrow_and_hubs_as_sums(small, monkeypatch):
+    """Between the layers of width 64 a row has the four means of a node; those of hubs are added up before they travel."""
+    params = sage.init_parameters(sage.parameter_shapes(PROFILE, 1, 64, 2), 8)
+    incoming = {t: PROFILE.incoming(t) for t in PROFILE.node_types}
+    means = sage.neighbor_means(small.nodes, small.nodes, small.edges, PROFILE, incoming, [], 1)
+    assert means.select(F.max(F.size("x"))).first()[0] == 4
+    want, _ = sage_kernel.logits(params, PROFILE, whole_subgraph(small))
+    hubs = [sage.ALL_TYPES.index("user") << sage.INDEX_BITS | i for i in range(0, 60, 2)]
+    monkeypatch.setattr(sage, "heavy_keys", lambda *_: {"src": [], "dst": hubs})
+    found = {r.idx: (r.z0, r.z1) for r in sage.forward(small, params).collect()}
+    assert len(found) == 60 and all(np.allclose(z, want[idx], atol=1e-9) for idx, z in found.items())
+
+
 def test_plan_does_not_grow_with_the_width(small):
     def plan(hidden):
         logits = sage.forward(small, sage.init_parameters(sage.parameter_shapes(PROFILE, 1, hidden, 2), 8))
