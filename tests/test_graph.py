@@ -242,6 +242,22 @@ def test_a_draw_reads_few_blocks_of_a_hub(spark):
         assert path not in index.blocks.columns
 
 
+def test_adjacency_holds_what_draws_can_ask_for(spark):
+    """Two hops from one node of a long chain: the edges into it and into what leads to it, drawn as from all edges."""
+    chain = spark.range(1000).select(
+        F.lit("user").alias("src_type"), F.lit("knows").alias("relation"), F.lit("user").alias("dst_type"),
+        (F.col("id") + 1).alias("src"), F.col("id").alias("dst"),
+    )
+    edges = chain.unionByName(chain).unionByName(chain.withColumn("src", F.col("src") + 1))  # with parallel edges
+    seeds = spark.createDataFrame([(0, "user", 5), (1, "user", None)], "batch_id int, node_type string, idx bigint")
+    index = neighbors.adjacency(edges, seeds, 2)
+    assert sorted(r["_dst"] & 0xFFFF for r in index.degrees.collect()) == [5, 6, 7]
+    assert index.degrees.agg(F.sum("degree")).first()[0] == 9
+    whole = neighbors.neighbor_sample(neighbors.adjacency(edges), seeds, (2, 2), 3)
+    for found, want in zip(neighbors.neighbor_sample(index, seeds, (2, 2), 3), whole):
+        assert rows(found) == rows(want)
+
+
 def test_ego_graphs_of_many_seeds(spark):
     """2,500 seeds, three blocks of bits, on a random graph with a hub; two nodes for some seeds."""
     rng = random.Random(9)
