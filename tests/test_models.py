@@ -217,6 +217,22 @@ def test_small_steps_share_a_job(spark, small):
     assert adam.steps == 9 and np.array_equal(adam.second, plain.second)
 
 
+def test_a_run_gets_one_row_for_a_batch(small):
+    """What a task trains step by step was cut out and sorted before, batches side by side."""
+    shapes = sage.parameter_shapes(PROFILE, 1, 3, 2)
+    users = small.nodes.where("node_type = 'user' and split = 'train'").select("node_type", "idx", "y")
+    seeds = sage_train.stratified_batches(users, "idx", "y", 2, 7).select("batch_id", "node_type", "idx").where("batch_id < 5")
+    records = sage_train.batch_records(small, seeds, (2, 2), "7/1", 2)
+    packed = sage_train.packed_batches(records, PROFILE, "seeds")
+    assert sorted((r.batch_id, r.step, r.run) for r in packed.collect()) == [(b, b // 2, 0) for b in range(5)]
+    weights = sage_train.flatten(sage.init_parameters(shapes, 7), list(shapes))
+    found = []
+    for given in (records, packed):
+        adam = sage_train.Adam(len(weights), 0.05, 1e-4)
+        found.append((*sage_train._run_result(given, 0, adam, weights, shapes, PROFILE, "seeds"), adam.steps))
+    assert all(np.array_equal(a, b) for a, b in zip(*found)) and found[0][2] == 3
+
+
 def test_large_steps_equal_small_ones(small, monkeypatch):
     settings = GraphSet(hidden=3, learning_rate=0.05, weight_decay=1e-4, epochs=1, batch_size=4, fanouts=(2, 2))
     runs = sage_train.train_sage(small, settings, batches_per_step=3)
