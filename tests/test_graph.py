@@ -6,8 +6,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from agora.catalog import FORUM, QA, Profile, edge_types, index_of, node_id, type_of
-from agora.operators import graph_build, graph_ops, neighbors
+from agora.operators import graph_build, graph_ops, neighbors, ordering
 from agora.operators.skew import bucketed_join, salted_join
+from agora.session import materialize
 from agora.sources import graph_store
 from tests.conftest import rows
 
@@ -343,6 +344,42 @@ def test_whole_keys_travel_as_numbers(spark):
     ]
 
 
+def test_rows_move_once_to_become_nodes(spark, monkeypatch):
+    """The order by key also brings repeats together: nothing is grouped by a shuffle of its own before."""
+    plans = []
+
+    def seen(df, label):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return materialize(df, label)
+
+    monkeypatch.setattr(ordering, "materialize", seen)
+    users = spark.createDataFrame([("a", 1), ("a", 0)], "user_id string, influential int")
+    questions = spark.createDataFrame([(5, "a", 1.0, None)], "question_id bigint, user_id string, score double, accepted_answer_id string")
+    answers = spark.createDataFrame([(7, 5, "a", 2.0), (7, 5, "b", 1.0)], "answer_id bigint, question_id bigint, user_id string, score double")
+    nodes = graph_build.qa_nodes(users, questions, answers)
+    assert rows(nodes, "node_type", "key", "x", "y") == [("answer", "7", [2.0], None), ("question", "5", [1.0], None), ("user", "a", [1.0], 1)]
+    assert plans and all("rangepartitioning" in p and "hashpartitioning" not in p for p in plans)
+
+
+@pytest.mark.parametrize("few, heavy", [(100, False), (0, False), (100, True), (0, True)])
+def test_rows_of_repeated_keys_keep_their_own_edges(spark, monkeypatch, few, heavy):
+    monkeypatch.setattr(graph_build, "FEW", few)
+    if heavy:
+        monkeypatch.setattr(graph_build, "heavy_keys", lambda df, columns: {c: [7] if c == "key" else [] for c in columns})
+    users = spark.createDataFrame([(1, 0), (2, 0)], "user_id bigint, influential int")
+    questions = spark.createDataFrame([(5, 1, 1.0, "7"), (6, None, 1.0, "8")], "question_id bigint, user_id bigint, score double, accepted_answer_id string")
+    answers = spark.createDataFrame(
+        [(7, 5, 1, 1.0), (7, 6, None, 3.0), (7, 6, 2, None), (8, 6, 2, 4.0), (9, None, 1, 5.0), (None, 5, 1, 6.0)],
+        "answer_id bigint, question_id bigint, user_id bigint, score double",
+    )
+    graph = graph_build.qa_graph(users, questions, answers)
+    assert rows(graph.nodes.where("node_type = 'answer'"), "key", "idx", "x") == [("7", 0, [3.0]), ("8", 1, [4.0]), ("9", 2, [5.0])]
+    assert rows(graph.edges, "relation", "src", "dst") == sorted(
+        [("accepted_answer", 0, 0), ("accepted_answer", 1, 1), ("asks", 0, 0), ("answers", 0, 0), ("answers", 1, 0), ("answers", 1, 1), ("answers", 0, 2)]
+        + [("has", 0, 0), ("has", 1, 0), ("has", 1, 0), ("has", 1, 1)]
+    )
+
+
 def test_seeds_at_nodes_of_their_own_have_narrow_blocks(spark):
     seeds = spark.range(2000).select(F.col("id").alias("seed_id"), F.lit("user").alias("node_type"), F.col("id").alias("idx"))
     assert graph_ops._numbered(seeds)[2] == 1
