@@ -8,6 +8,7 @@ import numpy as np
 import pandas as pd
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from agora.llm import licenses as lic
 from agora.llm import negatives as neg
@@ -82,6 +83,33 @@ def test_cells_are_bounded():
         assert groups <= anchors and stripes >= 1
 
 
+def test_copies_are_not_broadcast_and_cells_are_dealt_to_many_tasks(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=4).tolist(), int(rng.integers(3))) for i in range(1500)]
+    met, scored = [], neg._scored
+    monkeypatch.setattr(neg, "_scored", lambda joined, *rest: met.append(joined) or scored(joined, *rest))
+    monkeypatch.setattr(neg, "CELL", 1000)
+    monkeypatch.setattr(neg, "BLOCK", 40)
+    wanted = by_sql(rows)[1]
+    found = neg.hard_negatives(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int"))
+    assert sorted(map(tuple, found.select(by_sql(rows[:1])[0]).collect())) == wanted
+    assert len(met) == 2
+    for joined in met:
+        plan = joined._jdf.queryExecution().executedPlan().toString().splitlines()
+        assert "SortMergeJoin" in next(line for line in plan if "Join" in line)
+        assert joined.select(F.spark_partition_id()).distinct().count() > 8
+
+
+def test_many_anchors_at_a_time():
+    rng = np.random.default_rng(9)
+    for most, size in ((3, 5), (200, 64), (2**24 - 1, 9), (2**24 - 1, 20_000)):
+        candidates, anchors = (rng.integers(-most, most + 1, (k, size)) for k in (7, 3))
+        width = neg.field_bytes(candidates, most)
+        components, bias = neg.pack(candidates, width)
+        packed = neg.Packed(components, 7, width, bias)
+        assert packed.all_scores(anchors).tolist() == (anchors @ candidates.T).tolist()
+
+
 def test_no_anchors(spark):
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>, label int")
     assert neg.hard_negatives(empty).collect() == []
