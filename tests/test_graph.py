@@ -315,6 +315,42 @@ def test_stored_graph_joins_without_moving_edges(spark, qa, tmp_path):
         assert rows(hop, "seed_id", "src", "dst") == rows(salted_join(edges.frame, step, key), "seed_id", "src", "dst")
 
 
+def test_in_edges_of_a_prepared_graph_are_its_out_edges_the_other_way_round(spark, qa, tmp_path):
+    """The second edge table is written without a shuffle, a file for each bucket; other graphs shuffle it."""
+    ready = graph_ops.prepare(qa)
+    assert not ready.with_edges(ready.edges).mirrors and not graph_ops.prepare(ready).mirrors
+    for name, graph in (("mirrored", ready), ("plain", qa), ("cut", ready.with_edges(ready.edges.where("relation <> 'rev_has'")))):
+        path = str(tmp_path / name)
+        exchanged = []
+        run = type(spark.range(1).write).saveAsTable
+        with pytest.MonkeyPatch.context() as patch:
+
+            def spied(writer, table):
+                plan = writer._df._jdf.queryExecution().executedPlan().toString()
+                exchanged.append("Exchange" in plan)
+                return run(writer, table)
+
+            patch.setattr(type(spark.range(1).write), "saveAsTable", spied)
+            graph_store.write_bucketed(graph, path, f"{name}_test", 4)
+        assert exchanged == [True, True, name != "mirrored"]
+        stored = graph_store.open_bucketed(spark, path, f"{name}_test", QA)
+        for part in (stored.out_edges, stored.in_edges):
+            assert part.frame.columns == [*graph_ops.EDGE_KEYS, "src", "dst", "_src", "_dst"]
+            assert rows(part.frame.drop("_src", "_dst")) == rows(graph.edges.select(*graph_ops.EDGE_KEYS, "src", "dst"))
+        assert rows(stored.nodes.frame.drop("_node")) == rows(graph.nodes)
+        files = [p.name.split("_")[-1] for p in (tmp_path / name / "in_edges").glob("part-*")]
+        assert len(files) == len(set(files))
+
+
+def test_stored_keys_keep_their_text(spark, tmp_path):
+    keys = ["7", "07", "+7", " 7", "-3", "x", "", None, "9223372036854775808", "9223372036854775807"]
+    nodes = spark.createDataFrame([("user", k, i, [float(i)], None, None) for i, k in enumerate(keys)], graph_build.NODE_SCHEMA)
+    edges = spark.createDataFrame([("user", "asks", "question", 0, 1)], EDGES)
+    graph_store.write_bucketed(graph_build.Graph(Profile(QA), nodes, edges), str(tmp_path / "keys"), "keys_test", 2)
+    stored = graph_store.open_bucketed(spark, str(tmp_path / "keys"), "keys_test", QA)
+    assert {(r.idx, r.key) for r in stored.nodes.frame.collect()} == set(enumerate(keys))
+
+
 def test_heavy_buckets_are_spread(spark, tmp_path):
     pairs = [("user", "asks", "question", 0, k) for k in range(20_000)] + [("user", "asks", "question", k, k) for k in range(1, 300)]
     edges = spark.createDataFrame(pairs, EDGES)
