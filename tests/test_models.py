@@ -9,6 +9,7 @@ from agora.config import GRAPH_SETS, TREE_SETS, GraphSet, tree_set
 from agora.operators import sage, sage_kernel, sage_train, trees, vectors
 from agora.operators.graph_build import EDGE_SCHEMA, NODE_SCHEMA, Graph
 from agora.operators.graph_ops import prepare
+from agora.session import materialize
 from agora.sources import artifacts
 
 PROFILE = Profile(QA)
@@ -233,6 +234,44 @@ def test_a_run_gets_one_row_for_a_batch(small):
     assert all(np.array_equal(a, b) for a, b in zip(*found)) and found[0][2] == 3
 
 
+def test_a_run_is_one_task_that_never_holds_all_batches(spark, small, monkeypatch):
+    """Runs are long; their batches pass in small Arrow batches, in their order, with the same bits."""
+    assert sage_train._run_steps(4) >= 1000
+    shapes = sage.parameter_shapes(PROFILE, 1, 3, 2)
+    users = small.nodes.where("node_type = 'user' and split = 'train'").select("node_type", "idx", "y")
+    seeds = sage_train.stratified_batches(users, "idx", "y", 2, 7).select("batch_id", "node_type", "idx").where("batch_id < 7")
+    packed = materialize(sage_train.packed_batches(sage_train.batch_records(small, seeds, (2, 2), "7/1", 2), PROFILE, "seeds"), "packed")
+    weights, run = sage_train.flatten(sage.init_parameters(shapes, 7), list(shapes)), type(packed).mapInArrow
+
+    def small_batches(batches):
+        for b in batches:
+            assert b.num_rows <= 2
+            yield b
+
+    monkeypatch.setattr(type(packed), "mapInArrow", lambda frame, fn, schema: run(frame, lambda b: fn(small_batches(b)), schema))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 2)
+    found = []
+    try:
+        for rows_of_batch in (packed, packed.repartition(5)):
+            adam = sage_train.Adam(len(weights), 0.05, 1e-4)
+            found.append(sage_train._run_result(rows_of_batch, 0, adam, weights, shapes, PROFILE, "seeds"))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert all(np.array_equal(a, b) for a, b in zip(*found)) and found[0][1][0] == 7
+
+
+def test_known_means_and_the_first_layer_leave_the_gradients_as_they_are(small):
+    shapes = sage.parameter_shapes(PROFILE, 1, 3, 2)
+    params = sage.init_parameters(shapes, 7)
+    users = small.nodes.where("node_type = 'user' and split = 'train'").select("node_type", "idx", "y")
+    seeds = sage_train.stratified_batches(users, "idx", "y", 2, 7).select("batch_id", "node_type", "idx").where("batch_id < 1")
+    sub, _ = sage_train.to_subgraph(sage_train.batch_records(small, seeds, (2, 2), "7/1", 1).toArrow(), PROFILE, "seeds")
+    plain = sage_kernel.loss_and_gradients(params, PROFILE, sub)
+    sub.means = sage_kernel.input_means(PROFILE, sub)
+    known = sage_kernel.loss_and_gradients(params, PROFILE, sub)
+    assert plain[0] == known[0] and all(np.array_equal(known[1][n], g) for n, g in plain[1].items())
+
+
 def test_large_steps_equal_small_ones(small, monkeypatch):
     settings = GraphSet(hidden=3, learning_rate=0.05, weight_decay=1e-4, epochs=1, batch_size=4, fanouts=(2, 2))
     runs = sage_train.train_sage(small, settings, batches_per_step=3)
